@@ -1,0 +1,63 @@
+"""Separate treatment of groups too large for one task.
+
+A window puts a whole group in one task. That is the cheapest plan for most
+groups and fails for the few that hold a large part of all rows. ``by_heat``
+counts the groups, gives the ordinary rows to a one-shuffle plan and the rows of
+large groups to a plan that never holds a group in one place. Both plans must
+give the same rows; no row is dropped or limited.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickloom.functions.nullsafe import join_on
+
+HOT_ROWS = 2_000_000
+MAX_HOT_GROUPS = 100_000
+
+
+def hot_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    max_groups: int = MAX_HOT_GROUPS,
+) -> DataFrame:
+    """Keys of groups with more than ``hot_rows`` rows, fewer than ``max_groups`` of them.
+
+    A group must also hold more than one part in ``max_groups`` of all rows. Less
+    than ``max_groups`` groups can do that, so the result is small enough to
+    broadcast whatever the size of the data.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    share = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0)) / F.lit(max_groups)).scalar()
+    return sizes.where(F.col("_rows") > F.greatest(F.lit(float(hot_rows)), share)).select(*keys)
+
+
+def in_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return join_on(df, groups, keys, "left_semi", hint=F.broadcast)
+
+
+def not_in_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return join_on(df, groups, keys, "left_anti", hint=F.broadcast)
+
+
+def by_heat(
+    df: DataFrame,
+    keys: Sequence[str],
+    cold: Callable[[DataFrame], DataFrame],
+    hot: Callable[[DataFrame], DataFrame],
+    hot_rows: int = HOT_ROWS,
+    max_groups: int = MAX_HOT_GROUPS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """``cold`` on the rows of ordinary groups, ``hot`` on those of large ones.
+
+    ``counted`` is a cheaper frame with the same keys to count instead of ``df``.
+    """
+    large = hot_groups(df if counted is None else counted, keys, hot_rows, max_groups)
+    ordinary = cold(not_in_groups(df, large, keys))
+    return ordinary.unionByName(hot(in_groups(df, large, keys)))
