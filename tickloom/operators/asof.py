@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
@@ -59,31 +59,30 @@ def merged_timeline(
 def forward_fill(
     timeline: DataFrame,
     by: Sequence[str] = INSTRUMENT_DAY,
-    columns: dict[str, str] = FILLED,
+    columns: Mapping[str, str] = FILLED,
     inclusive: bool = True,
     spread: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Last non-null value of each column up to each row, as a new column.
 
     Rows are ordered by time; at one instant trades come before quotes, or after
     them when ``inclusive`` is false. A trade without a price comes before the
     priced ones of its instant. Columns in ``spread`` hold at most one distinct
-    value per group and are set on all its rows.
+    value per group and are set on all its rows. ``counted`` is a cheaper frame
+    with the group columns of the same rows.
+
+    An ordinary group is filled by one window. A large one is cut into minutes,
+    each starting from the last value before it; a minute too large for one task
+    is filled per distinct instant instead of per row.
     """
-    if "event_seq_nb" not in timeline.columns:
-        raise ValueError("a time line needs event_seq_nb to order ties")
-    # The count needs the keys only, so what feeds the values is not computed for it.
-    counted = timeline.select(*by)
-    timed = timeline.withColumn("_us", epoch_micros(timeline, "event_tm"))
     kept = [*timeline.columns, *columns.values()]
-    lead = next(iter(columns))
+    us = epoch_micros(timeline, "event_tm")
+    timed = timeline.withColumns({"_us": us, "_slice": slice_start(us, MINUTE)})
 
     def cold(rows: DataFrame) -> DataFrame:
-        kind = F.desc("rec_type") if inclusive else F.asc("rec_type")
-        order = Window.partitionBy(*by).orderBy(
-            "_us", kind, F.col(lead).isNotNull(), "event_seq_nb", lead
-        )
+        order = _time_order(by, columns, inclusive)
         so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         new = {out: F.last(c, ignorenulls=True).over(so_far) for c, out in columns.items()}
@@ -91,66 +90,108 @@ def forward_fill(
         return rows.withColumns(new).select(*kept)
 
     def hot(rows: DataFrame) -> DataFrame:
-        values = _values_by_instant(rows, by, columns)
-        found = join_on(rows, values, [*by, "_us"], "left")
+        carried = _carried_into_minutes(rows, by, columns)
         if spread:
             # One row per large group, of which there are fewer than MAX_HOT_GROUPS.
             single = rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in spread])
-            found = join_on(found.drop(*spread), single, by, "left", hint=F.broadcast)
-        new = {}
-        for c, out in columns.items():
-            upto = F.coalesce(f"_at_{c}", f"_before_{c}") if inclusive else F.col(f"_before_{c}")
-            own = F.coalesce(c, f"_before_{c}")
-            new[out] = F.when(F.col("rec_type") == QUOTE_TYPE, upto).otherwise(own)
-        return found.withColumns(new).select(*kept)
+            rows = join_on(rows.drop(*spread), single, by, "left", hint=F.broadcast)
+        minute = [*by, "_slice"]
+        return by_heat(
+            rows,
+            minute,
+            lambda part: _fill_minutes(part, carried, minute, columns, inclusive).select(*kept),
+            lambda part: _fill_instants(part, carried, minute, columns, inclusive).select(*kept),
+            hot_rows,
+        )
 
     return by_heat(timed, by, cold, hot, hot_rows, counted=counted)
 
 
-def _values_by_instant(rows: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per instant the last value at it and the last value before it, per column.
+def _time_order(by: Sequence[str], columns: Mapping[str, str], inclusive: bool) -> WindowSpec:
+    lead = next(iter(columns))
+    kind = F.desc("rec_type") if inclusive else F.asc("rec_type")
+    return Window.partitionBy(*by).orderBy(
+        "_us", kind, F.col(lead).isNotNull(), "event_seq_nb", lead
+    )
+
+
+def _carried_into_minutes(
+    rows: DataFrame, by: Sequence[str], columns: Iterable[str]
+) -> DataFrame:
+    """Per minute with any row the last value of each column before it.
 
-    Instants are unique, so a minute has a bounded number of them and a day a
-    bounded number of minutes. The last value before an instant is the last one
-    before it in its minute, or else the last of the minutes before.
+    Both aggregates merge within tasks first; a day has a bounded number of
+    minutes, so the running window is small however many rows the group has.
     """
-    last = {
-        c: F.max(F.when(F.col(c).isNotNull(), F.struct("event_seq_nb", c))).getField(c)
-        for c in columns
-    }
-    instants = (
-        rows.groupBy(*by, "_us")
-        .agg(*[last[c].alias(f"_at_{c}") for c in columns])
-        .withColumn("_slice", slice_start(F.col("_us"), MINUTE))
-    )
-    minutes = instants.groupBy(*by, "_slice").agg(
+    minutes = rows.select(*by, "_slice").distinct()
+    valued = rows.where(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
+    ends = valued.groupBy(*by, "_slice").agg(
         *[
-            F.max(F.when(F.col(f"_at_{c}").isNotNull(), F.struct("_us", f"_at_{c}")))
-            .getField(f"_at_{c}")
+            F.max(F.when(F.col(c).isNotNull(), F.struct("_us", "event_seq_nb", c)))
+            .getField(c)
             .alias(f"_end_{c}")
             for c in columns
         ]
     )
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = minutes.select(
+    return join_on(minutes, ends, [*by, "_slice"], "left").select(
         *by,
         "_slice",
         *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns],
     )
-    within = Window.partitionBy(*by, "_slice").orderBy("_us")
-    within = within.rowsBetween(Window.unboundedPreceding, -1)
-    joined = join_on(instants, carried, [*by, "_slice"], "left")
-    return joined.select(
-        *by,
-        "_us",
-        *[f"_at_{c}" for c in columns],
-        *[
-            F.coalesce(
-                F.last(f"_at_{c}", ignorenulls=True).over(within), F.col(f"_carry_{c}")
-            ).alias(f"_before_{c}")
+
+
+def _fill_minutes(
+    rows: DataFrame,
+    carried: DataFrame,
+    minute: Sequence[str],
+    columns: Mapping[str, str],
+    inclusive: bool,
+) -> DataFrame:
+    """Fill by one window per minute; join and window share one shuffle of the rows."""
+    order = _time_order(minute, columns, inclusive)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = {out: F.last(c, ignorenulls=True).over(so_far) for c, out in columns.items()}
+    filled = join_on(rows, carried, minute, "left").withColumns(within)
+    return filled.withColumns(
+        {out: F.coalesce(out, f"_carry_{c}") for c, out in columns.items()}
+    )
+
+
+def _fill_instants(
+    rows: DataFrame,
+    carried: DataFrame,
+    minute: Sequence[str],
+    columns: Mapping[str, str],
+    inclusive: bool,
+) -> DataFrame:
+    """Fill per distinct instant and join back, where the join may split an instant.
+
+    A minute has a bounded number of instants, however many rows it has. A quote
+    sees the last value at its instant (or before it), a trade its own or else
+    the last one before its instant.
+    """
+    at = {
+        c: F.max(F.when(F.col(c).isNotNull(), F.struct("event_seq_nb", c))).getField(c)
+        for c in columns
+    }
+    instants = rows.groupBy(*minute, "_us").agg(*[at[c].alias(f"_at_{c}") for c in columns])
+    before = Window.partitionBy(*minute).orderBy("_us").rowsBetween(Window.unboundedPreceding, -1)
+    values = join_on(instants, carried, minute, "left").withColumns(
+        {
+            f"_before_{c}": F.coalesce(
+                F.last(f"_at_{c}", ignorenulls=True).over(before), F.col(f"_carry_{c}")
+            )
             for c in columns
-        ],
+        }
     )
+    found = join_on(rows, values, [*minute, "_us"], "left")
+    new = {}
+    for c, out in columns.items():
+        own = F.coalesce(c, f"_before_{c}")
+        seen = F.coalesce(f"_at_{c}", f"_before_{c}") if inclusive else F.col(f"_before_{c}")
+        new[out] = F.when(F.col("rec_type") == QUOTE_TYPE, seen).otherwise(own)
+    return found.withColumns(new)
 
 
 def asof_last_trade(
@@ -159,7 +200,8 @@ def asof_last_trade(
     seeds: DataFrame | None = None,
     inclusive: bool = True,
     close: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Each quote with the last trade price and average as of its time.
 
@@ -167,5 +209,7 @@ def asof_last_trade(
     """
     timeline = merged_timeline(trades, quotes, seeds, close)
     spread = [] if close is None else [close]
-    filled = forward_fill(timeline, inclusive=inclusive, spread=spread, hot_rows=hot_rows)
+    filled = forward_fill(
+        timeline, inclusive=inclusive, spread=spread, hot_rows=hot_rows, counted=counted
+    )
     return filled.where(F.col("rec_type") == QUOTE_TYPE).drop(*FILLED)

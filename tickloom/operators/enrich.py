@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.asof import asof_last_trade
 from tickloom.operators.close import next_dates, prior_day_close, with_movement
-from tickloom.operators.heat import HOT_ROWS
+from tickloom.operators.heat import HOT_ROWS, has_hot_group
 from tickloom.operators.moving import moving_average
-from tickloom.schema import ENRICHED
+from tickloom.schema import ENRICHED, INSTRUMENT_DAY, SYMBOL_DAY
 
 
 def carried_trades(
@@ -25,7 +25,8 @@ def enrich_averaged(
     quotes: DataFrame,
     inclusive: bool = True,
     calendar: str = "calendar",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Enriched quotes from trades that already have ``mov_avg_pr``.
 
@@ -33,7 +34,9 @@ def enrich_averaged(
     as-of fill needs anyway, so attaching it costs no join.
     """
     seeds = carried_trades(averaged, quotes, calendar)
-    filled = asof_last_trade(averaged, quotes, seeds, inclusive, "close_pr", hot_rows)
+    filled = asof_last_trade(
+        averaged, quotes, seeds, inclusive, "close_pr", hot_rows, counted
+    )
     return with_movement(filled).select(*ENRICHED.names)
 
 
@@ -49,8 +52,11 @@ def enrich_quotes(
 
     Any number of dates is handled in one pass.
     """
-    averaged = moving_average(trades, minutes, hot_rows=hot_rows)
-    return enrich_averaged(averaged, quotes, inclusive, calendar, hot_rows)
+    counted = trades.select(*INSTRUMENT_DAY).unionByName(quotes.select(*INSTRUMENT_DAY))
+    # All rows of a symbol's day are at least its trades and each instrument's rows.
+    limit = hot_rows if has_hot_group(counted, SYMBOL_DAY, hot_rows) else None
+    averaged = moving_average(trades, minutes, hot_rows=limit)
+    return enrich_averaged(averaged, quotes, inclusive, calendar, limit, counted)
 
 
 def needed_trade_dates(quotes: DataFrame, trades: DataFrame, calendar: str) -> DataFrame:

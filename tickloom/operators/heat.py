@@ -5,6 +5,9 @@ groups and fails for the few that hold a large part of all rows. ``by_heat``
 counts the groups, gives the ordinary rows to a one-shuffle plan and the rows of
 large groups to a plan that never holds a group in one place. Both plans must
 give the same rows; no row is dropped or limited.
+
+The count reads the key columns only and runs when the plan is built. Where it
+finds no large group the plan is the one-shuffle plan alone.
 """
 
 from __future__ import annotations
@@ -26,15 +29,15 @@ def hot_groups(
     hot_rows: int = HOT_ROWS,
     max_groups: int = MAX_HOT_GROUPS,
 ) -> DataFrame:
-    """Keys of groups with more than ``hot_rows`` rows, fewer than ``max_groups`` of them.
+    """Keys of groups with more than ``hot_rows`` rows, the largest ``max_groups`` at most.
 
-    A group must also hold more than one part in ``max_groups`` of all rows. Less
-    than ``max_groups`` groups can do that, so the result is small enough to
-    broadcast whatever the size of the data.
+    The result is small enough to broadcast whatever the size of the data. Groups
+    beyond the limit are each smaller than one part in ``max_groups`` of all rows
+    and stay ordinary ones.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    share = sizes.agg(F.coalesce(F.sum("_rows"), F.lit(0)) / F.lit(max_groups)).scalar()
-    return sizes.where(F.col("_rows") > F.greatest(F.lit(float(hot_rows)), share)).select(*keys)
+    large = sizes.where(F.col("_rows") > hot_rows)
+    return large.orderBy(F.desc("_rows"), *keys).limit(max_groups).select(*keys)
 
 
 def in_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,19 +48,30 @@ def not_in_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Data
     return join_on(df, groups, keys, "left_anti", hint=F.broadcast)
 
 
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    return not hot_groups(df, keys, hot_rows, 1).isEmpty()
+
+
 def by_heat(
     df: DataFrame,
     keys: Sequence[str],
     cold: Callable[[DataFrame], DataFrame],
     hot: Callable[[DataFrame], DataFrame],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     max_groups: int = MAX_HOT_GROUPS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """``cold`` on the rows of ordinary groups, ``hot`` on those of large ones.
 
     ``counted`` is a cheaper frame with the same keys to count instead of ``df``.
+    ``hot_rows`` is None where the caller has counted and found no large group.
     """
+    if hot_rows is None:
+        return cold(df)
     large = hot_groups(df if counted is None else counted, keys, hot_rows, max_groups)
-    ordinary = cold(not_in_groups(df, large, keys))
-    return ordinary.unionByName(hot(in_groups(df, large, keys)))
+    found = large.collect()  # max_groups rows at most
+    if not found:
+        return cold(df)
+    groups = df.sparkSession.createDataFrame(found, large.schema)
+    ordinary = cold(not_in_groups(df, groups, keys))
+    return ordinary.unionByName(hot(in_groups(df, groups, keys)))

@@ -20,7 +20,7 @@ def moving_average(
     time: str = "latest_trade",
     price: str = "trade_pr",
     out: str = "mov_avg_pr",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Average price of the last ``minutes`` up to each trade, trades at its instant included.
 

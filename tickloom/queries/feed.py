@@ -14,8 +14,15 @@ FAULT_EVERY = 50
 FAULT_GARBAGE, FAULT_TYPE, FAULT_PRICE, FAULT_TIME, FAULT_SHORT = range(5)
 
 
+# Declared, so that no file is opened to find the schema.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     event_id = F.col("event_id")
     return events.select(
         F.to_date("ts").alias("trade_dt"),

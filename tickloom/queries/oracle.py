@@ -341,6 +341,7 @@ FROM tr""",
         "asof_last_trade": _asof(">="),
         "asof_last_trade_strict": _asof(">"),
         "asof_bucketed": _asof(">="),
+        "asof_by_instant": _asof(">="),
         "run_audit": _with(FEEDS)
         + """
 SELECT trade_dt, exchange, "partition", _reason AS reason, count(*) AS row_count,

@@ -284,6 +284,10 @@ def asof_last_trade_strict(spark, sf_dir):
 
 
 def asof_bucketed(spark, sf_dir):
+    return _asof(spark, sf_dir, hot_rows=4)
+
+
+def asof_by_instant(spark, sf_dir):
     return _asof(spark, sf_dir, hot_rows=0)
 
 
@@ -318,7 +322,7 @@ _ALL: Sequence[Query] = (
     sql_last_trade, last_value_range, last_value_unbounded, dense_rank_latest,
     dense_rank_split, date_functions, prior_close, prior_close_ranked,
     prior_close_trading_day, prior_close_join, price_movement, merged_timeline, forward_fill,
-    asof_last_trade, asof_last_trade_strict, asof_bucketed, run_audit, latest_status,
+    asof_last_trade, asof_last_trade_strict, asof_bucketed, asof_by_instant, run_audit, latest_status,
     pipeline_end_to_end,
 )
 

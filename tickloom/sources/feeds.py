@@ -52,6 +52,16 @@ def read_lines(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(paths).select("value")
 
 
+def _parsed_once(df: DataFrame) -> DataFrame:
+    """The same rows out of a generator.
+
+    A filter on parsed columns would otherwise be moved below the parse by copying
+    all of its expressions into the condition, so each line would be parsed again
+    and again. Filters do not move through a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def _all_of(conditions: Sequence[Column]) -> Column:
     held = F.lit(True)
     for condition in conditions:
@@ -105,6 +115,7 @@ def parse_csv_feed(lines: DataFrame, value: str = "value") -> DataFrame:
         P.parse_price(at(CSV_ASK_PRICE)).alias("ask_pr"),
         P.parse_int(at(CSV_ASK_SIZE)).alias("ask_size"),
     )
+    typed = _parsed_once(typed)
     is_quote = F.col("rec_type") == QUOTE_TYPE
     needed = F.when(is_quote, CSV_ASK_SIZE + 1).otherwise(CSV_PRICE + 1)
     common = ("trade_dt", "event_tm", "event_seq_nb", "arrival_tm")
@@ -151,28 +162,30 @@ def parse_json_feed(lines: DataFrame, value: str = "value") -> DataFrame:
         P.finite(j["ask_pr"]).alias("ask_pr"),
         j["ask_size"].alias("ask_size"),
     )
-    target = {"file_tm": "arrival_tm", "price": "trade_pr"}
-
-    # The line is looked at again only where a field came out null.
-    def unread(key: str) -> Column:
-        null = F.col(target.get(key, key)).isNull()
-        if key in JSON_NEVER_NULL:
-            return null
-        return null & F.get_json_object("_line", f"$.{key}").isNotNull()
-
-    def missing(key: str) -> Column:
-        null = F.col(target.get(key, key)).isNull()
-        return null & ~F.array_contains(F.json_object_keys("_line"), key)
+    column = {"file_tm": "arrival_tm", "price": "trade_pr"}
+    is_trade = F.col("rec_type") == TRADE_TYPE
 
     def any_key(test) -> Column:
-        def of(keys):
-            return ~_all_of([~F.coalesce(test(k), F.lit(True)) for k in keys])
+        def of(keys: Sequence[str]) -> Column:
+            return ~_all_of([~test(key, F.col(column.get(key, key)).isNull()) for key in keys])
 
-        own = F.when(F.col("rec_type") == TRADE_TYPE, of(JSON_TRADE_KEYS)).otherwise(
-            of(JSON_QUOTE_KEYS)
-        )
+        own = F.when(is_trade, of(JSON_TRADE_KEYS)).otherwise(of(JSON_QUOTE_KEYS))
         return of(JSON_COMMON_KEYS) | own
 
+    # Only a line with an empty field is read once more, for the texts behind it.
+    empty = any_key(lambda key, null: null)
+    texts = F.when(empty, F.from_json("_line", "map<string, string>", options))
+    typed = _parsed_once(typed.withColumn("_texts", texts))
+    given = F.map_keys("_texts")
+
+    def missing(key: str, null: Column) -> Column:
+        return null & ~F.coalesce(F.array_contains(given, key), F.lit(False))
+
+    def unread(key: str, null: Column) -> Column:
+        if key in JSON_NEVER_NULL:
+            return null
+        return null & F.try_element_at("_texts", F.lit(key)).isNotNull()
+
     reason = (
         F.when(F.col("rec_type").isNull(), BAD_JSON)
         .when(~F.col("rec_type").isin(TRADE_TYPE, QUOTE_TYPE), UNKNOWN_TYPE)
