@@ -71,7 +71,7 @@ def forward_fill(
     them when ``inclusive`` is false. A trade without a price comes before the
     priced ones of its instant. Columns in ``spread`` hold at most one distinct
     value per group and are set on all its rows. ``counted`` is a cheaper frame
-    with the group columns of the same rows.
+    with the group columns and times of the same rows.
 
     An ordinary group is filled by one window. A large one is cut into minutes,
     each starting from the last value before it; a minute too large for one task
@@ -89,22 +89,28 @@ def forward_fill(
         new.update({c: F.max(c).over(whole) for c in spread})
         return rows.withColumns(new).select(*kept)
 
+    if counted is not None:
+        us = epoch_micros(counted, "event_tm")
+        counted = counted.select(*by, slice_start(us, MINUTE).alias("_slice"))
+
     def hot(rows: DataFrame) -> DataFrame:
+        minute = [*by, "_slice"]
+        counts = rows.select(*minute) if counted is None else counted
         carried = _carried_into_minutes(rows, by, columns)
         if spread:
-            # One row per large group, of which there are fewer than MAX_HOT_GROUPS.
+            # One row per large group, of which there are MAX_HOT_GROUPS at most.
             single = rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in spread])
             rows = join_on(rows.drop(*spread), single, by, "left", hint=F.broadcast)
-        minute = [*by, "_slice"]
         return by_heat(
             rows,
             minute,
             lambda part: _fill_minutes(part, carried, minute, columns, inclusive).select(*kept),
             lambda part: _fill_instants(part, carried, minute, columns, inclusive).select(*kept),
             hot_rows,
+            counts,
         )
 
-    return by_heat(timed, by, cold, hot, hot_rows, counted=counted)
+    return by_heat(timed, by, cold, hot, hot_rows, counted)
 
 
 def _time_order(by: Sequence[str], columns: Mapping[str, str], inclusive: bool) -> WindowSpec:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
-from tickloom.operators.heat import HOT_ROWS, by_heat
+from tickloom.operators.heat import HOT_ROWS, split_plan
 from tickloom.schema import QUOTE, QUOTE_TYPE, TRADE, TRADE_TYPE
 
 # The two correction keys.
@@ -25,6 +25,17 @@ def latest_event_time(
     return df.groupBy(*key).agg(F.max(time).alias(out))
 
 
+def _hot_slots(slotted: DataFrame, hot_rows: int) -> list[Row]:
+    """Slots that hold a large group of copies.
+
+    An even spread gives each slot the same share; a slot with more than twice
+    that share has a large group in it.
+    """
+    sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")).collect()  # SLOTS at most
+    limit = max(hot_rows, 2 * sum(row.n for row in sizes) // SLOTS)
+    return [Row(_slot=row["_slot"]) for row in sizes if row.n > limit]
+
+
 def keep_latest_ties(
     df: DataFrame,
     key: Sequence[str] = BATCH_KEY,
@@ -44,7 +55,8 @@ def keep_latest_ties(
         found = rows.where(F.col(time).isNotNull())
         return join_on(found, best, [*key, time], "left_semi")
 
-    return by_heat(slotted, ["_slot"], cold, hot, hot_rows, SLOTS // 2).drop("_slot")
+    large = _hot_slots(slotted, hot_rows)
+    return split_plan(slotted, ["_slot"], large, cold, hot).drop("_slot")
 
 
 def keep_latest_one(

@@ -10,6 +10,7 @@ from tickloom.operators.close import next_dates, prior_day_close, with_movement
 from tickloom.operators.heat import HOT_ROWS, has_hot_group
 from tickloom.operators.moving import moving_average
 from tickloom.schema import ENRICHED, INSTRUMENT_DAY, SYMBOL_DAY
+from tickloom.sources.tables import staged
 
 
 def carried_trades(
@@ -52,11 +53,16 @@ def enrich_quotes(
 
     Any number of dates is handled in one pass.
     """
-    counted = trades.select(*INSTRUMENT_DAY).unionByName(quotes.select(*INSTRUMENT_DAY))
-    # All rows of a symbol's day are at least its trades and each instrument's rows.
-    limit = hot_rows if has_hot_group(counted, SYMBOL_DAY, hot_rows) else None
-    averaged = moving_average(trades, minutes, hot_rows=limit)
-    return enrich_averaged(averaged, quotes, inclusive, calendar, limit, counted)
+    counted = trades.select(*INSTRUMENT_DAY, F.col("latest_trade").alias("event_tm")).unionByName(
+        quotes.select(*INSTRUMENT_DAY, F.col("latest_quote").alias("event_tm"))
+    )
+    # A symbol's day holds at least its trades and the rows of each of its instruments.
+    if not has_hot_group(counted, SYMBOL_DAY, hot_rows):
+        averaged = moving_average(trades, minutes, hot_rows=None)
+        return enrich_averaged(averaged, quotes, inclusive, calendar, None)
+    # Several branches read the averages then, so they are computed once.
+    averaged = staged(moving_average(trades, minutes, hot_rows=hot_rows), "averaged")
+    return enrich_averaged(averaged, quotes, inclusive, calendar, hot_rows, counted)
 
 
 def needed_trade_dates(quotes: DataFrame, trades: DataFrame, calendar: str) -> DataFrame:

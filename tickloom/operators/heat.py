@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
@@ -52,13 +52,27 @@ def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS)
     return not hot_groups(df, keys, hot_rows, 1).isEmpty()
 
 
+def split_plan(
+    df: DataFrame,
+    keys: Sequence[str],
+    large: Sequence[Row],
+    cold: Callable[[DataFrame], DataFrame],
+    hot: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``cold`` on the rows outside the ``large`` groups, ``hot`` on those inside."""
+    if not large:
+        return cold(df)
+    groups = df.sparkSession.createDataFrame(large, df.select(*keys).schema)
+    ordinary = cold(not_in_groups(df, groups, keys))
+    return ordinary.unionByName(hot(in_groups(df, groups, keys)))
+
+
 def by_heat(
     df: DataFrame,
     keys: Sequence[str],
     cold: Callable[[DataFrame], DataFrame],
     hot: Callable[[DataFrame], DataFrame],
     hot_rows: int | None = HOT_ROWS,
-    max_groups: int = MAX_HOT_GROUPS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """``cold`` on the rows of ordinary groups, ``hot`` on those of large ones.
@@ -68,10 +82,5 @@ def by_heat(
     """
     if hot_rows is None:
         return cold(df)
-    large = hot_groups(df if counted is None else counted, keys, hot_rows, max_groups)
-    found = large.collect()  # max_groups rows at most
-    if not found:
-        return cold(df)
-    groups = df.sparkSession.createDataFrame(found, large.schema)
-    ordinary = cold(not_in_groups(df, groups, keys))
-    return ordinary.unionByName(hot(in_groups(df, groups, keys)))
+    large = hot_groups(df if counted is None else counted, keys, hot_rows)
+    return split_plan(df, keys, large.collect(), cold, hot)  # MAX_HOT_GROUPS rows at most

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tickloom.operators.asof import forward_fill, merged_timeline
+from tickloom.operators.asof import asof_last_trade, merged_timeline
 from tickloom.operators.enrich import carried_trades
 from tickloom.operators.moving import moving_average
-from tickloom.schema import QUOTE_TYPE
-from tickloom.sources.tables import register_views
+from tickloom.sources.tables import STAGING_NAMES, register_views
 
 TRADE_COLUMNS = (
     "trade_dt", "stock_symbol", "stock_exchange", "latest_trade", "event_seq_nb", "trade_pr",
@@ -17,29 +17,34 @@ TRADE_COLUMNS = (
 
 
 def register_staging(
-    trades: DataFrame, quotes: DataFrame, minutes: int = 180, calendar: str = "calendar"
+    trades: DataFrame,
+    quotes: DataFrame,
+    names: Sequence[str] = STAGING_NAMES,
+    minutes: int = 180,
+    calendar: str = "calendar",
 ) -> None:
-    """Register the staging views of all dates; a ``trade_dt`` predicate picks a day.
+    """Register staging views of all dates; a ``trade_dt`` predicate picks a day.
 
     The last average up to a trade is the average at that trade, so the last-trade
     views rename it. ``prev_temp_last_trade`` gives the carried-in trades.
     """
     plain = trades.select(*TRADE_COLUMNS)
     averaged = moving_average(plain, minutes)
-    last = averaged.withColumnRenamed("mov_avg_pr", "last_mov_avg_pr")
-    seeds = carried_trades(averaged, quotes, calendar)
-    union = merged_timeline(averaged, quotes)
-    filled = forward_fill(merged_timeline(averaged, quotes, seeds))
-    update = filled.where(F.col("rec_type") == QUOTE_TYPE).drop("trade_pr", "mov_avg_pr")
-    register_views(
-        {
-            "tmp_trade_moving_avg": plain,
-            "temp_trade_moving_avg": averaged,
-            "tmp_last_trade": plain,
-            "temp_last_trade": last,
-            "prev_temp_last_trade": seeds.withColumnRenamed("mov_avg_pr", "last_mov_avg_pr"),
-            "quotes": quotes,
-            "quote_union": union,
-            "quote_update": update,
-        }
-    )
+
+    def seeds() -> DataFrame:
+        return carried_trades(averaged, quotes, calendar)
+
+    def quote_update() -> DataFrame:
+        return asof_last_trade(averaged, quotes, seeds())
+
+    views = {
+        "tmp_trade_moving_avg": lambda: plain,
+        "temp_trade_moving_avg": lambda: averaged,
+        "tmp_last_trade": lambda: plain,
+        "temp_last_trade": lambda: averaged.withColumnRenamed("mov_avg_pr", "last_mov_avg_pr"),
+        "prev_temp_last_trade": lambda: seeds().withColumnRenamed("mov_avg_pr", "last_mov_avg_pr"),
+        "quotes": lambda: quotes,
+        "quote_union": lambda: merged_timeline(averaged, quotes),
+        "quote_update": quote_update,
+    }
+    register_views({name: views[name]() for name in names})

@@ -188,7 +188,8 @@ def moving_average_split(spark, sf_dir):
 
 
 def sql_moving_average(spark, sf_dir):
-    register_staging(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir))
+    views = ["temp_trade_moving_avg"]
+    register_staging(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir), views)
     return spark.sql(
         "SELECT stock_symbol, stock_exchange, latest_trade, event_seq_nb, trade_pr, mov_avg_pr "
         "FROM temp_trade_moving_avg"
@@ -196,7 +197,8 @@ def sql_moving_average(spark, sf_dir):
 
 
 def sql_last_trade(spark, sf_dir):
-    register_staging(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir))
+    views = ["temp_last_trade"]
+    register_staging(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir), views)
     return spark.sql(
         "SELECT trade_dt, stock_symbol, stock_exchange, latest_trade, event_seq_nb, trade_pr, "
         "last_mov_avg_pr FROM (SELECT * FROM temp_last_trade) AS last_trades"
@@ -254,23 +256,21 @@ def price_movement(spark, sf_dir):
     return close.price_movement(feed.quotes(spark, sf_dir), prior_close(spark, sf_dir))
 
 
-def _timeline(spark, sf_dir):
-    trades, quotes = feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir)
-    averaged = moving.moving_average(trades)
-    return asof.merged_timeline(averaged, quotes, enrich.carried_trades(averaged, quotes))
+def _averaged(spark, sf_dir):
+    return tables.staged(moving.moving_average(feed.trades(spark, sf_dir)), "averaged")
 
 
 def merged_timeline(spark, sf_dir):
-    return _timeline(spark, sf_dir)
+    averaged, quotes = _averaged(spark, sf_dir), feed.quotes(spark, sf_dir)
+    return asof.merged_timeline(averaged, quotes, enrich.carried_trades(averaged, quotes))
 
 
 def forward_fill(spark, sf_dir):
-    return asof.forward_fill(_timeline(spark, sf_dir))
+    return asof.forward_fill(merged_timeline(spark, sf_dir))
 
 
 def _asof(spark, sf_dir, **options):
-    trades, quotes = feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir)
-    averaged = moving.moving_average(trades)
+    averaged, quotes = _averaged(spark, sf_dir), feed.quotes(spark, sf_dir)
     seeds = enrich.carried_trades(averaged, quotes)
     return asof.asof_last_trade(averaged, quotes, seeds, **options)
 

@@ -91,3 +91,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a new scratch folder and read it back.
+
+    For a frame several branches read: it is computed once, and the loss of an
+    executor does not compute it again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
