@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("tickloom-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))

@@ -7,7 +7,7 @@ from rows import DAY1, DAY2, DAY4, quote, quotes, trade, trades
 from tickloom.operators import asof, enrich, moving
 from tickloom.schema import ENRICHED, TIMELINE
 
-TIERS = [0, 1, 2, 5, 10**6]
+TIERS = [0, 2, 10**6]
 
 
 def sample(spark):
@@ -75,7 +75,7 @@ def brute_last(t, q, inclusive):
 
 @pytest.mark.parametrize("hot_rows", TIERS)
 @pytest.mark.parametrize("inclusive", [True, False])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_against_brute_force(spark, seed, inclusive, hot_rows):
     t, q = random_feed(seed)
     averaged = moving.moving_average(trades(spark, t), hot_rows=None)

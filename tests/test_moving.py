@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rows import DAY1, DAY2, trade, trades
 from tickloom.operators import moving
 
-ALL_TIERS = [0, 20, 10**6, None]
+ALL_TIERS = [0, 20, None]
 
 
 def brute(rows, minutes):
@@ -44,7 +44,7 @@ def random_trades(seed, n=250):
 
 
 @pytest.mark.parametrize("hot_rows", ALL_TIERS)
-@pytest.mark.parametrize("minutes", [1, 30, 180, 2000])
+@pytest.mark.parametrize("minutes", [1, 180, 2000])
 def test_against_brute_force(spark, minutes, hot_rows):
     rows = random_trades(minutes)
     out = moving.moving_average(trades(spark, rows), minutes, hot_rows=hot_rows)

@@ -1,0 +1,99 @@
+import pytest
+from pyspark.sql import functions as F
+
+from rows import DAY1, DAY2, DAY4, trade, trades
+from tickloom.plans import audit
+from tickloom.plans.sql_surface import register_staging
+from tickloom.queries import feed
+from tickloom.schema import TRADE
+from tickloom.sources import tables
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def days(spark, *day_list):
+    return trades(spark, [trade(d, "9:0", 1.0, i) for i, d in enumerate(day_list)])
+
+
+def read(spark, root):
+    return spark.read.schema(TRADE).parquet(root)
+
+
+def test_a_rerun_replaces_only_its_dates(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_by_date(days(spark, DAY1, DAY2), root)
+    tables.write_by_date(days(spark, DAY1, DAY2), root)
+    assert read(spark, root).count() == 2
+    tables.write_by_date(days(spark, DAY2, DAY2, DAY4), root)
+    counts = {r.trade_dt: r["count"] for r in read(spark, root).groupBy("trade_dt").count().collect()}
+    assert counts == {DAY1: 1, DAY2: 2, DAY4: 1}
+    tables.write_by_date(days(spark), root)
+    assert read(spark, root).count() == 4
+
+
+def test_read_dates_lists_only_their_files(spark, tmp_path):
+    root = str(tmp_path / "t")
+    tables.write_by_date(days(spark, DAY1, DAY2, DAY4), root)
+    one = tables.read_dates(spark, root, [DAY2])
+    assert one.count() == 1
+    assert all("trade_dt=2020-08-04" in path for path in one.inputFiles()) or one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_dt" in plan
+
+
+def test_read_partition_prunes(spark, tmp_path):
+    root = str(tmp_path / "e")
+    tables.write_partitioned(feed.events(spark, SF_DIR), root, ["trade_dt", "partition"])
+    df = tables.read_partition(spark, root, "T")
+    assert {r.rec_type for r in df.select("rec_type").distinct().collect()} == {"T"}
+    assert "PartitionFilters: [isnotnull(partition" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staging_tables_and_views(spark, tmp_path):
+    df = days(spark, DAY1)
+    out = tables.save_staging(df, "temp_last_trade", str(tmp_path / "s"))
+    assert tables.save_staging(days(spark, DAY1, DAY2), "temp_last_trade").count() == 2
+    assert out.columns == df.columns
+    tables.register_views({"quotes": df})
+    assert spark.sql("SELECT * FROM quotes").count() == 1
+    tables.drop_staging(spark)
+    assert not spark.catalog.tableExists("temp_last_trade")
+    assert not spark.catalog.tableExists("quotes")
+    tables.drop_staging(spark)
+
+
+def test_all_staging_views_answer_sql(spark):
+    register_staging(feed.trades(spark, SF_DIR), feed.quotes(spark, SF_DIR))
+    n_trades, n_quotes = feed.trades(spark, SF_DIR).count(), feed.quotes(spark, SF_DIR).count()
+    size = {n: spark.sql(f"SELECT count(*) AS n FROM {n}").first().n for n in tables.STAGING_NAMES}
+    seeds = size.pop("prev_temp_last_trade")
+    assert 0 < seeds <= n_trades
+    assert size == {
+        "tmp_trade_moving_avg": n_trades, "temp_trade_moving_avg": n_trades,
+        "tmp_last_trade": n_trades, "temp_last_trade": n_trades, "quotes": n_quotes,
+        "quote_union": n_trades + n_quotes, "quote_update": n_quotes,
+    }
+    tables.drop_staging(spark)
+
+
+def test_scratch_follows_the_session(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = tables.scratch_path(spark, "x"), tables.scratch_path(spark, "x")
+    assert one != two and one.startswith(base)
+
+
+def test_status_log(spark, tmp_path):
+    root = str(tmp_path / "log")
+    for job_id, status in [("1", "running"), ("1", "failed"), ("2", "running"), ("2", "success")]:
+        audit.append_status(spark, root, job_id, "etl", status, [DAY1])
+    log = spark.read.parquet(root)
+    assert log.count() == 4
+    assert [(r.status, r.job_id) for r in audit.latest_status(log).collect()] == [("success", "2")]
+    assert audit.job_status(log, "1").first().status == "failed"
+    assert log.where(F.col("trade_date") == DAY1).count() == 4
+
+
+def test_unknown_status_job(spark, tmp_path):
+    root = str(tmp_path / "log")
+    audit.append_status(spark, root, "1", "etl", "running", [])
+    assert audit.job_status(spark.read.parquet(root), "9").count() == 0
