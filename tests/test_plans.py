@@ -1,0 +1,98 @@
+"""What the physical plans must and must not contain."""
+
+import pytest
+
+from tickloom.operators import asof, close, correct, enrich, moving, order
+from tickloom.queries import feed
+from tickloom.queries.registry import all_queries
+from tickloom.sources import feeds
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def initial(df, node):
+    """Number of such nodes in the plan before adaptive execution changes it."""
+    return sum(node in line for line in plan(df).splitlines())
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return feed.trades(spark, SF_DIR), feed.quotes(spark, SF_DIR)
+
+
+@pytest.mark.parametrize("name", [
+    "flagship_enriched_quotes", "moving_average_180m", "asof_by_instant", "eod_quotes",
+    "prior_close_trading_day", "price_movement", "ingest_json", "run_audit",
+])
+def test_no_python_no_nested_loop_no_global_sort(spark, name):
+    text = plan(all_queries()[name](spark, SF_DIR))
+    for node in ("Python", "NestedLoop", "CartesianProduct", "rangepartitioning"):
+        assert node not in text
+
+
+def test_enrichment_shuffles(tables):
+    df = enrich.enrich_quotes(*tables)
+    # Averages twice (one exchange is reused when run), carried trades, time line.
+    assert initial(df, "Exchange hashpartitioning") == 4
+    assert initial(df, "Join") == 0
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+def test_moving_average_is_one_shuffle_without_a_sliding_frame(tables):
+    df = moving.moving_average(tables[0])
+    assert initial(df, "Exchange hashpartitioning") == 1
+    assert "PRECEDING" not in plan(df).upper().replace("UNBOUNDEDPRECEDING", "")
+
+
+def test_correction_is_one_shuffle_without_a_join(spark):
+    df = correct.load_trades(feed.batched_events(spark, SF_DIR))
+    assert initial(df, "Exchange hashpartitioning") == 1
+    assert initial(df, "Join") == 0
+
+
+def test_latest_arrival_merges_before_the_shuffle(spark):
+    df = correct.load_trades(feed.resent_events(spark, SF_DIR), "latest_arrival")
+    assert initial(df, "Exchange") == 1
+    assert initial(df, "Aggregate") == 2
+
+
+def test_large_groups_are_never_one_window_partition(tables):
+    averaged = moving.moving_average(tables[0], hot_rows=None)
+    df = asof.asof_last_trade(averaged, tables[1], hot_rows=0)
+    windows = [x for x in plan(df).splitlines() if "+- Window" in x or ":- Window" in x]
+    assert windows
+    assert any("_slice" in x for x in windows)
+
+
+def test_rank_filter_drops_rows_before_the_shuffle(tables):
+    assert "WindowGroupLimit" in plan(close.latest_ranked(tables[0]))
+
+
+def test_top_n_sorts_nothing_globally(tables):
+    text = plan(order.latest_n(tables[0], 5, ["latest_trade", "event_seq_nb"]))
+    assert "TakeOrderedAndProject" in text and "Exchange" not in text
+
+
+def test_filters_and_columns_reach_the_scan(tables):
+    text = plan(close.instrument_rows(tables[0], "S7").select("trade_pr"))
+    assert "props" not in text and "event_type" in text
+    assert "DataFilters: [" in text and "DataFilters: []" not in text
+
+
+def test_filters_are_not_copied_into_the_parse(spark):
+    lines = spark.createDataFrame([("x",)], "value string")
+    for parse in (feeds.parse_csv_feed, feeds.parse_json_feed):
+        text = plan(feeds.accepted(parse(lines)))
+        filters = [x for x in text.splitlines() if "Filter" in x]
+        assert filters and not any("from_json" in x or "split(" in x for x in filters)
+
+
+def test_counting_averages_nothing(spark, tables):
+    averaged = moving.moving_average(tables[0], hot_rows=None)
+    text = plan(averaged.groupBy("trade_dt").count())
+    assert "Window" not in text

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.asof import asof_last_trade
-from tickloom.operators.close import next_dates, prior_day_close, with_movement
+from tickloom.operators.close import prior_day_close, with_movement
 from tickloom.operators.heat import HOT_ROWS, has_hot_group
 from tickloom.operators.moving import moving_average
 from tickloom.schema import ENRICHED, INSTRUMENT_DAY, SYMBOL_DAY
@@ -63,18 +63,3 @@ def enrich_quotes(
     # Several branches read the averages then, so they are computed once.
     averaged = staged(moving_average(trades, minutes, hot_rows=hot_rows), "averaged")
     return enrich_averaged(averaged, quotes, inclusive, calendar, hot_rows, counted)
-
-
-def needed_trade_dates(quotes: DataFrame, trades: DataFrame, calendar: str) -> DataFrame:
-    """Dates whose trades the quotes of ``quotes`` can see, one row per calendar day."""
-    days = quotes.select("trade_dt").distinct()
-    if calendar == "calendar":
-        prior = days.select(F.date_sub("trade_dt", 1).alias("trade_dt"))
-    else:
-        traded = trades.select("trade_dt").distinct()
-        prior = (
-            next_dates(days, traded)
-            .join(F.broadcast(days), "trade_dt", "left_semi")
-            .select(F.col("prior_dt").alias("trade_dt"))
-        )
-    return days.unionByName(prior).distinct()

@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.close import prior_day_close
 from tickloom.operators.correct import load_quotes, load_trades
-from tickloom.operators.enrich import enrich_averaged, needed_trade_dates
+from tickloom.operators.enrich import enrich_averaged
 from tickloom.operators.heat import HOT_ROWS
 from tickloom.operators.moving import moving_average
 from tickloom.plans import audit
@@ -118,26 +117,33 @@ def load_eod_quotes(spark: SparkSession, conf: PipelineConfig, dates: Sequence[d
 
 
 def stage_averages(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> None:
-    """Moving averages of the run's dates, written because three later steps read them."""
+    """Moving averages of the run's dates, written because later steps and runs read them."""
     trades = _read(spark, conf.table("trade"), TRADE).where(_on(dates))
     averaged = moving_average(trades, conf.minutes, hot_rows=conf.hot_rows)
     write_by_date(averaged, conf.table("trade_moving_avg"))
 
 
+def seen_dates(
+    averaged: DataFrame, dates: Sequence[dt.date], calendar: str
+) -> list[dt.date]:
+    """Dates whose trades the quotes of ``dates`` can see; other partitions stay unread."""
+    if calendar == "calendar":
+        prior = [day - dt.timedelta(days=1) for day in dates]
+    else:
+        rows = averaged.select("trade_dt").distinct().collect()  # one row per calendar day
+        traded = [row.trade_dt for row in rows]
+        prior = [max((t for t in traded if t < day), default=day) for day in dates]
+    return sorted({*dates, *prior})
+
+
 def analyze(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> None:
-    """Enriched quotes of the run's dates and the closes they refer to."""
+    """Enriched quotes of the run's dates."""
     stage_averages(spark, conf, dates)
     quotes = _read(spark, conf.table("quote"), QUOTE).where(_on(dates))
     averaged = _read(spark, conf.table("trade_moving_avg"), AVERAGED_TRADE)
-    seen = needed_trade_dates(quotes, averaged, conf.calendar)
-    averaged = averaged.join(F.broadcast(seen), "trade_dt", "left_semi")
-    enriched = enrich_averaged(averaged, quotes, conf.inclusive, conf.calendar, conf.hot_rows)
+    seen = averaged.where(_on(seen_dates(averaged, dates, conf.calendar)))
+    enriched = enrich_averaged(seen, quotes, conf.inclusive, conf.calendar, conf.hot_rows)
     write_by_date(enriched, conf.table("enriched"))
-    close = prior_day_close(
-        averaged, conf.calendar, quotes if conf.calendar == "trading" else None,
-        ("trade_pr", "mov_avg_pr"),
-    )
-    write_by_date(close.where(_on(dates)), conf.table("last_trade"))
 
 
 def run_pipeline(spark: SparkSession, conf: PipelineConfig) -> DataFrame:
