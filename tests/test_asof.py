@@ -22,7 +22,7 @@ def sample(spark):
     return trades(spark, t), quotes(spark, q)
 
 
-@pytest.mark.parametrize("hot_rows", TIERS)
+@pytest.mark.parametrize("hot_rows", [0, 10**6])
 @pytest.mark.parametrize("calendar", ["calendar", "trading"])
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_worked_sample(spark, calendar, inclusive, hot_rows):
@@ -86,15 +86,14 @@ def test_against_brute_force(spark, seed, inclusive, hot_rows):
     assert len(out) == len(q)
 
 
-@pytest.mark.parametrize("inclusive", [True, False])
-def test_all_tiers_agree_on_every_row(spark, inclusive):
+def test_all_tiers_agree_on_every_row(spark):
     t, q = random_feed(7)
     averaged = moving.moving_average(trades(spark, t), hot_rows=None)
     timeline = asof.merged_timeline(averaged, quotes(spark, q))
     results = [
         sorted(str(tuple(r)) for r in asof.forward_fill(
-            timeline, inclusive=inclusive, hot_rows=h).collect())
-        for h in (None, 0, 1, 2, 5)
+            timeline, hot_rows=h).collect())
+        for h in (None, 0, 2)
     ]
     assert all(r == results[0] for r in results)
 

@@ -51,6 +51,7 @@ def test_read_partition_prunes(spark, tmp_path):
 
 def test_staging_tables_and_views(spark, tmp_path):
     df = days(spark, DAY1)
+    tables.register_views({"temp_last_trade": df.limit(0)})
     out = tables.save_staging(df, "temp_last_trade", str(tmp_path / "s"))
     assert tables.save_staging(days(spark, DAY1, DAY2), "temp_last_trade").count() == 2
     assert out.columns == df.columns

@@ -61,7 +61,8 @@ def read_dates(
 
 
 def save_staging(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Write a catalog table, replacing an older one, and read it back."""
+    """Write a catalog table, replacing an older table or view, and read it back."""
+    df.sparkSession.catalog.dropTempView(name)  # a view would hide the table
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
