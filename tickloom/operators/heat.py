@@ -23,6 +23,11 @@ HOT_ROWS = 2_000_000
 MAX_HOT_GROUPS = 100_000
 
 
+def _larger_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return sizes.where(F.col("_rows") > hot_rows)
+
+
 def hot_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -35,8 +40,7 @@ def hot_groups(
     beyond the limit are each smaller than one part in ``max_groups`` of all rows
     and stay ordinary ones.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > hot_rows)
+    large = _larger_groups(df, keys, hot_rows)
     return large.orderBy(F.desc("_rows"), *keys).limit(max_groups).select(*keys)
 
 
@@ -49,7 +53,7 @@ def not_in_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> Data
 
 
 def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    return not hot_groups(df, keys, hot_rows, 1).isEmpty()
+    return not _larger_groups(df, keys, hot_rows).isEmpty()
 
 
 def split_plan(

@@ -35,11 +35,20 @@ CSV_ASK_PRICE = 9
 CSV_ASK_SIZE = 10
 
 # Keys and types of the JSON feed.
-JSON_FIELDS = (
-    "event_type string, trade_dt string, symbol string, exchange string, "
-    "event_tm string, event_seq_nb int, file_tm string, price float, "
-    "bid_pr float, bid_size int, ask_pr float, ask_size int"
-)
+JSON_FIELDS = {
+    "event_type": "string",
+    "trade_dt": "string",
+    "symbol": "string",
+    "exchange": "string",
+    "event_tm": "string",
+    "event_seq_nb": "int",
+    "file_tm": "string",
+    "price": "float",
+    "bid_pr": "float",
+    "bid_size": "int",
+    "ask_pr": "float",
+    "ask_size": "int",
+}
 JSON_COMMON_KEYS = ("trade_dt", "symbol", "exchange", "event_tm", "event_seq_nb", "file_tm")
 JSON_TRADE_KEYS = ("price",)
 JSON_QUOTE_KEYS = ("bid_pr", "bid_size", "ask_pr", "ask_size")
@@ -142,11 +151,12 @@ def parse_json_feed(lines: DataFrame, value: str = "value") -> DataFrame:
     # object an error instead of being skipped.
     wrapped = F.concat(F.lit("["), F.col(value), F.lit("]"))
     options = {"allowSingleQuotes": "false"}
-    items = F.from_json(wrapped, f"array<struct<{_as_struct(JSON_FIELDS)}>>", options)
+    fields = ", ".join(f"{name}: {kind}" for name, kind in JSON_FIELDS.items())
+    items = F.from_json(wrapped, f"array<struct<{fields}>>", options)
     read = lines.select(F.col(value).alias("_line"), items.alias("_items")).select(
         "_line", F.when(F.size("_items") == 1, F.get("_items", F.lit(0))).alias("_j")
     )
-    j = {name: F.col("_j").getField(name) for name in _field_names(JSON_FIELDS)}
+    j = {name: F.col("_j").getField(name) for name in JSON_FIELDS}
     typed = read.select(
         "_line",
         j["event_type"].alias("rec_type"),
@@ -195,14 +205,6 @@ def parse_json_feed(lines: DataFrame, value: str = "value") -> DataFrame:
     return _events(typed.withColumn("_reason", reason))
 
 
-def _field_names(fields: str) -> list[str]:
-    return [field.split()[0] for field in fields.split(", ")]
-
-
-def _as_struct(fields: str) -> str:
-    return ", ".join(": ".join(field.split()) for field in fields.split(", "))
-
-
 def ingest(
     spark: SparkSession,
     csv_globs: str | Sequence[str] = (),
