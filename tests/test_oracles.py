@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, connect
+from tickloom.queries.oracle import all_oracles
+from tickloom.queries.registry import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_registers_them():
+    assert entry_module.queries().keys() >= QUERIES.keys()
+    assert entry_module.oracle_sql().keys() >= ORACLES.keys()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, QUERIES[name], ORACLES[name], SF_DIR) is None
