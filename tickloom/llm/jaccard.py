@@ -18,10 +18,14 @@ The boundary x is chosen by cost: the number of entries that either way makes fo
 sizes that occur.
 
 Lists are read in order as streams and give each member's pair with the list's first
-member; pairs are checked against the exact sets. Members that are not in the
-component of most of their list are then paired with the rest of the list. Thus
-linked copies never meet all of each other, and no link between different components
-is missed. Documents with equal sets are one from the start.
+member; pairs are checked against the exact sets. Where a list still holds several
+components, the members outside the one that most belong to are compared with the
+rest. That happens within the task, block by block, on sketches: the parity of each
+of ``BITS`` bins of the set. A differing element flips one bit, so sets whose sketches
+differ in more bits than linked sets may differ in elements are no link; the pairs
+that remain are checked exactly. Thus copies never meet all of each other as rows,
+and no link between different components is missed. Documents with equal sets are one
+from the start.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import stars
@@ -45,6 +49,9 @@ from tickloom.sources.tables import staged
 MOST_LIGHT = 48
 #: Ids of documents to check are broadcast up to this many (16 MB), beyond that joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Bits of a sketch, and members of a list that are compared in one piece.
+BITS = 1024
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -146,9 +153,20 @@ def heavy_keys(rule: Rule, firsts: np.ndarray, sizes: np.ndarray, hashes: np.nda
     return np.concatenate(owners), np.concatenate(keys)
 
 
+def sketches(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rows of BITS / 8 bytes: whether an odd number of the set's elements falls into each bin."""
+    bins = (hashes & np.uint64(BITS - 1)).astype(np.int64)
+    out = np.empty((len(ends) - 1, BITS // 8), np.uint8)
+    for i in range(len(out)):
+        out[i] = np.packbits(np.bincount(bins[ends[i] : ends[i + 1]], minlength=BITS) & 1)
+    return out
+
+
 def signatures(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n and two independent sums over the set, which stand for the set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())])
+    """doc_id, n, two independent sums over the set, which stand for the set, and its sketch."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.binary())]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(rule.words)
@@ -156,13 +174,13 @@ def signatures(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataF
             ids = batch.column(0).cast(pa.int64())
             for at, ends, hashes in shingler.sets(batch.column(1)):
                 sums = [_row_sums(mix(hashes ^ np.uint64(salt)), ends) for salt in (0x9E3779B9, 0x85EBCA6B)]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(ends) - 1), pa.array(np.diff(ends)), *(pa.array(s.view(np.int64)) for s in sums)],
-                    schema=schema,
-                )
+                columns = [ids.slice(at, len(ends) - 1), pa.array(np.diff(ends))]
+                columns += [pa.array(s.view(np.int64)) for s in sums]
+                columns.append(pa.array([row.tobytes() for row in sketches(hashes, ends)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return rows.mapInArrow(run, "doc_id long, n long, s1 long, s2 long")
+    return rows.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sketch binary")
 
 
 def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -171,27 +189,21 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def entries(docs: DataFrame, rule: Rule, x: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, doc_id) of all lists. Of equal sets in a partition only the first is entered."""
+    """(key, doc_id) of all lists."""
     schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64())])
     low = least_heavy(rule, x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(rule.words), set()
+        shingler = Shingler(rule.words)
         for batch in batches:
             all_ids = np.asarray(batch.column(0).cast(pa.int64()))
             for at, ends, hashes in shingler.sets(batch.column(1)):
                 sizes = np.diff(ends)
-                sums = _row_sums(mix(hashes ^ np.uint64(0x9E3779B9)), ends)
-                fresh = np.zeros(len(sizes), bool)
-                for i, s in enumerate(sums.tolist()):
-                    if sizes[i] and s not in seen:
-                        seen.add(s)
-                        fresh[i] = True
                 ids = all_ids[at : at + len(sizes)]
-                for i in np.flatnonzero(fresh & (sizes <= x)):
+                for i in np.flatnonzero((sizes > 0) & (sizes <= x)):
                     keys = light_keys(rule, hashes[ends[i] : ends[i + 1]])
                     yield _entry_batch(keys, np.full(len(keys), ids[i]), schema)
-                heavy = fresh & (sizes >= low)
+                heavy = sizes >= max(low, 1)
                 if heavy.any():
                     firsts = np.array(rule.levels(rule.most(int(sizes.max())) + 1))
                     some = hashes[np.repeat(heavy, sizes)]
@@ -236,6 +248,77 @@ def scan_lists(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "key long, doc_id long, first long")
 
 
+def _differ(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bits in which each row of one array of 64-bit words differs from each row of the other."""
+    out = np.zeros((len(left), len(right)), np.int32)
+    for a, b in zip(left.T, right.T, strict=True):
+        out += np.bitwise_count(a[:, None] ^ b[None, :])
+    return out
+
+
+def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a > b) of members of a list in different components whose sketches allow a link.
+
+    ``listed`` has key, rep, n, root, main (the root of most members) and sketch. A list
+    of more than ``BLOCK`` members is dealt out as pairs of blocks, so that no task holds
+    more than two blocks of a list and a long list is shared by many.
+    """
+    sizes = listed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("_blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
+    dealt = listed.join(sizes, "key").withColumn("_own", own).withColumn("_other", other)
+    dealt = dealt.select(
+        "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own",
+        "rep", "n", "root", "main", "sketch",
+    )
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    share = (rule.den - rule.num) / (rule.den + rule.num)
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        rep, n, root, main = (rows.column(c).to_numpy() for c in ("rep", "n", "root", "main"))
+        own, first = rows.column("_own").to_numpy(), rows.column("_i")[0].as_py()
+        one_block = first == rows.column("_j")[0].as_py()
+        words = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(rep), -1)
+        lesser = root != main
+        found = [np.zeros((2, 0), np.int64)]
+        sides = [(lesser, np.ones(len(rep), bool))]
+        if not one_block:
+            low = own == first
+            sides = [(lesser & low, ~low), (lesser & ~low, low)]
+        for left, right in sides:
+            left, right = np.flatnonzero(left), np.flatnonzero(right)
+            for at in range(0, len(left), 256):
+                a, b = left[at : at + 256], right
+                most = share * (n[a][:, None] + n[b][None, :])
+                fits = (_differ(words[a], words[b]) <= most) & (root[a][:, None] != root[b][None, :])
+                small, large = np.minimum(n[a][:, None], n[b][None, :]), np.maximum(n[a][:, None], n[b][None, :])
+                i, j = np.nonzero(fits & (rule.den * small >= rule.num * large))
+                found.append(np.stack([rep[a[i]], rep[b[j]]]))
+        pairs = np.concatenate(found, axis=1)
+        pairs = np.unique(np.stack([pairs.max(axis=0), pairs.min(axis=0)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tags = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            cuts = np.flatnonzero((tags[1:] != tags[:-1]).any(axis=1)) + 1
+            for a, b in zip(np.r_[0, cuts].tolist(), [*cuts.tolist(), len(tags)], strict=True):
+                tag = tuple(tags[a].tolist())
+                if held and tag != now:
+                    yield links(pa.Table.from_batches(held))
+                    held = []
+                now = tag
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    ordered = dealt.repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
+    return ordered.mapInArrow(run, "a long, b long")
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     """doc_id and the sorted set of the wanted documents."""
     schema = pa.schema([("doc_id", pa.int64()), ("own", pa.list_(pa.int64()))])
@@ -248,8 +331,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, id_col: str, text_c
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ends) - 1), own], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    small = wanted.count() <= BROADCAST_IDS
-    some = rows.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
+    some = rows.join(_bounded(wanted), "doc_id", "left_semi")
     return staged(some.mapInArrow(run, "doc_id long, own array<bigint>"), "jaccard-sets")
 
 
@@ -282,60 +364,55 @@ def components(
     """
     rule = Rule(words, num, den)
     rows = staged(signatures(docs, rule, id_col, text_col), "jaccard-signatures")
-    named = rows.where(F.col("doc_id").isNotNull())
-    classes = named.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    members = staged(
-        named.where("n > 0").join(classes, ["n", "s1", "s2"]).select("doc_id", "n", "rep"), "jaccard-classes"
-    )
+    named = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+    classes = named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    members = staged(named.join(classes, ["n", "s1", "s2"]).select("doc_id", "n", "rep", "sketch"), "jaccard-classes")
     sizes = {r["n"]: r["count"] for r in rows.where(F.col("n").between(1, MOST_LIGHT)).groupBy("n").count().collect()}
     x = boundary(rule, sizes)
-    texts = docs.where(F.col(id_col).isNotNull())
+    of_id = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
+    of_id = staged(of_id, "jaccard-ids")
+    reps = members.where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "n", "sketch")
+    reps = staged(reps, "jaccard-reps")
+    copies = of_id.join(reps, of_id.doc_id == reps.rep, "left_anti").select(F.col("doc_id").alias(id_col))
+    texts = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
+    texts = texts.join(_bounded(staged(copies, "jaccard-copies")), id_col, "left_anti")
     lists = staged(scan_lists(entries(texts, rule, x, id_col, text_col)), "jaccard-lists")
 
-    # Each member with its list's first, by the classes they stand for.
-    spokes = staged(lists.select("doc_id", "first").where("doc_id <> first").distinct(), "jaccard-spokes")
-    reps = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"), F.max("n").alias("n"))
-    reps = staged(reps, "jaccard-reps")
-    side = lambda c, d: reps.select(F.col("doc_id").alias(c), F.col("rep").alias(f"{d}"), F.col("n").alias(f"n_{d}"))
-    meant = spokes.join(side("doc_id", "a"), "doc_id").join(side("first", "b"), "first").where("a <> b")
-    fit = meant.where(_compatible(rule, "n_a", "n_b"))
-    pairs = staged(fit.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "jaccard-pairs")
-    same_id = reps.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-    links = checked(pairs, docs, rule, id_col, text_col).unionByName(same_id)
+    # Each member with its list's first.
+    side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"))
+    spokes = lists.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).where("a <> b").distinct()
+    spokes = staged(spokes.join(side("a"), "a").join(side("b"), "b").where(_compatible(rule, "n_a", "n_b")), "jaccard-pairs")
+    same_id = of_id.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    links = checked(spokes, docs, rule, id_col, text_col).unionByName(same_id)
     found = stars(links)
 
     # Lists that still hold several components: their lesser members against the rest.
-    whole = reps.join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left").select(
-        "doc_id", "rep", "n", F.coalesce("root", "rep").alias("root")
-    )
-    whole = staged(whole, "jaccard-roots")
-    root = lambda c, d: whole.select(F.col("doc_id").alias(c), F.col("root").alias(d))
-    apart = spokes.join(root("doc_id", "x"), "doc_id").join(root("first", "y"), "first").where("x <> y")
-    mixed = lists.join(apart.select("doc_id", "first"), ["doc_id", "first"], "left_semi").select("key").distinct()
-    listed = lists.join(mixed, "key", "left_semi").join(whole, "doc_id").select("key", "rep", "n", "root").distinct()
-    listed = staged(listed, "jaccard-mixed")
-    most = listed.groupBy("key", "root").count().groupBy("key").agg(
-        F.max(F.struct("count", "root")).getField("root").alias("main")
-    )
-    lesser = listed.join(most, "key").where("root <> main").select(
-        "key", "main", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a")
-    )
-    rest = listed.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    more = lesser.join(rest, "key").where(
-        (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-    ).where(_compatible(rule, "n_a", "n_b"))
-    more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = staged(more.join(pairs, ["a", "b"], "left_anti"), "jaccard-more")
+    rooted = reps.join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
+    rooted = staged(rooted.select("rep", "n", "sketch", F.coalesce("root", "rep").alias("root")), "jaccard-roots")
+    root = lists.join(rooted.select(F.col("rep").alias("doc_id"), "root"), "doc_id")
+    tallies = root.groupBy("key", "root").count()
+    most = tallies.groupBy("key").agg(
+        F.max(F.struct("count", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("roots")
+    ).where("roots > 1")
+    listed = lists.join(most.select("key", "main"), "key").select("key", "main", F.col("doc_id").alias("rep"))
+    listed = staged(listed.join(rooted, "rep"), "jaccard-mixed")
+    more = compare_lists(listed, rule).distinct().join(spokes.select("a", "b"), ["a", "b"], "left_anti")
+    more = staged(more, "jaccard-more")
     if not more.isEmpty():
         found = stars(links.unionByName(checked(more, docs, rule, id_col, text_col)))
 
-    final = reps.join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
+    final = of_id.join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     final = final.select("doc_id", F.coalesce("root", "rep").alias("component_id"))
     return rows.join(final, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def _bounded(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is small enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def first_of_each(
     docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
