@@ -1,13 +1,12 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rows import DAY1, DAY2, DAY4, quote, quotes, trade, trades
 from tickloom.operators import asof, enrich, moving
-from tickloom.schema import ENRICHED, TIMELINE
-
-TIERS = [0, 2, 10**6]
+from tickloom.schema import ENRICHED, INSTRUMENT_DAY, TIMELINE
 
 
 def sample(spark):
@@ -22,12 +21,11 @@ def sample(spark):
     return trades(spark, t), quotes(spark, q)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**6])
 @pytest.mark.parametrize("calendar", ["calendar", "trading"])
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_worked_sample(spark, calendar, inclusive, hot_rows):
+def test_worked_sample(spark, calendar, inclusive):
     out = enrich.enrich_quotes(
-        *sample(spark), inclusive=inclusive, calendar=calendar, hot_rows=hot_rows
+        *sample(spark), inclusive=inclusive, calendar=calendar
     )
     assert out.columns == ENRICHED.names
     assert [f.dataType for f in out.schema.fields] == [f.dataType for f in ENRICHED.fields]
@@ -73,29 +71,38 @@ def brute_last(t, q, inclusive):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", TIERS)
 @pytest.mark.parametrize("inclusive", [True, False])
 @pytest.mark.parametrize("seed", [1])
-def test_against_brute_force(spark, seed, inclusive, hot_rows):
+def test_against_brute_force(spark, seed, inclusive):
     t, q = random_feed(seed)
-    averaged = moving.moving_average(trades(spark, t), hot_rows=None)
+    averaged = moving.moving_average(trades(spark, t))
     out = asof.asof_last_trade(
-        averaged, quotes(spark, q), inclusive=inclusive, hot_rows=hot_rows
+        averaged, quotes(spark, q), inclusive=inclusive
     ).collect()
     assert {r.event_seq_nb: r.last_trade_price for r in out} == brute_last(t, q, inclusive)
     assert len(out) == len(q)
 
 
-def test_all_tiers_agree_on_every_row(spark):
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_fill_equals_a_plain_window(spark, inclusive):
     t, q = random_feed(7)
-    averaged = moving.moving_average(trades(spark, t), hot_rows=None)
+    averaged = moving.moving_average(trades(spark, t))
     timeline = asof.merged_timeline(averaged, quotes(spark, q))
-    results = [
-        sorted(str(tuple(r)) for r in asof.forward_fill(
-            timeline, hot_rows=h).collect())
-        for h in (None, 0, 2)
-    ]
-    assert all(r == results[0] for r in results)
+    kind = F.desc("rec_type") if inclusive else F.asc("rec_type")
+    order = Window.partitionBy(*INSTRUMENT_DAY).orderBy(
+        "event_tm", kind, F.col("trade_pr").isNotNull(), "event_seq_nb"
+    ).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = timeline.withColumns({
+        out: F.last(c, ignorenulls=True).over(order) for c, out in asof.FILLED.items()
+    })
+    quote = lambda df: sorted(map(str, df.where("rec_type = 'Q'").drop("last_mov_avg_price").collect()))
+    filled = asof.forward_fill(timeline, inclusive=inclusive)
+    assert quote(filled) == quote(plain)
+    assert filled.count() == plain.count()
+    joined = asof.asof_last_trade(averaged, quotes(spark, q), inclusive=inclusive)
+    assert sorted(map(str, joined.collect())) == sorted(
+        map(str, filled.where("rec_type = 'Q'").drop(*asof.FILLED).select(*joined.columns).collect())
+    )
 
 
 def test_row_order_and_partitions_do_not_matter(spark):
@@ -107,14 +114,13 @@ def test_row_order_and_partitions_do_not_matter(spark):
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
-@pytest.mark.parametrize("hot_rows", [0, None])
-def test_two_trades_at_the_last_instant(spark, hot_rows):
+def test_two_trades_at_the_last_instant(spark):
     t = [trade(DAY1, "15:0", 8.0, 2), trade(DAY1, "15:0", 9.0, 1), trade(DAY1, "15:0", 7.0, 3)]
-    averaged = moving.moving_average(trades(spark, t), hot_rows=None)
+    averaged = moving.moving_average(trades(spark, t))
     q = quotes(spark, [quote(DAY1, "16:0", 1.0, 4), quote(DAY2, "9:0", 1.0, 5)])
     seeds = enrich.carried_trades(averaged, q)
     assert seeds.count() == 1
-    out = asof.asof_last_trade(averaged, q, seeds, hot_rows=hot_rows).collect()
+    out = asof.asof_last_trade(averaged, q, seeds).collect()
     assert {r.event_seq_nb: r.last_trade_price for r in out} == {4: 7.0, 5: 7.0}
 
 
@@ -129,12 +135,11 @@ def test_symbol_without_trades_and_exchanges_kept_apart(spark):
     assert got == {3: (5.0, 5.0), 4: (7.0, 6.0), 5: (None, None)}
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**6])
-def test_empty_sides(spark, hot_rows):
+def test_empty_sides(spark):
     t, q = sample(spark)
     none_t, none_q = trades(spark, []), quotes(spark, [])
-    assert enrich.enrich_quotes(t, none_q, hot_rows=hot_rows).count() == 0
-    out = enrich.enrich_quotes(none_t, q, hot_rows=hot_rows)
+    assert enrich.enrich_quotes(t, none_q).count() == 0
+    out = enrich.enrich_quotes(none_t, q)
     assert out.count() == 4
     assert out.where(F.coalesce("last_trade_price", "close_pr").isNotNull()).count() == 0
 
@@ -158,4 +163,4 @@ def test_a_fill_needs_the_sequence(spark):
     t, q = sample(spark)
     line = asof.merged_timeline(moving.moving_average(t), q).drop("event_seq_nb")
     with pytest.raises(Exception):
-        asof.forward_fill(line, hot_rows=None).collect()
+        asof.forward_fill(line).collect()

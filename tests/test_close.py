@@ -43,24 +43,22 @@ def test_movement(spark):
     assert got == {1: (7.0, 2.0, 3.0), 2: (None, None, None), 3: (7.0, None, None)}
 
 
-@pytest.mark.parametrize("hot_rows", [0, None])
-def test_ranks(spark, hot_rows):
+def test_ranks(spark):
     rng = random.Random(2)
     rows = [
         trade(DAY1, f"9:{rng.randrange(5)}:{rng.randrange(3)}", 1.0, i,
               rng.choice(["A", None]), rng.choice(["X", "Y"]))
         for i in range(120)
     ]
-    out = close.dense_rank_latest(trades(spark, rows), hot_rows=hot_rows).collect()
+    out = close.dense_rank_latest(trades(spark, rows)).collect()
     for r in out:
         times = {s[4] for s in rows if (s[2], s[3]) == (r.stock_symbol, r.stock_exchange)}
         assert r.time_rank == sorted(times, reverse=True).index(r.latest_trade) + 1
     assert len(out) == len(rows)
 
 
-@pytest.mark.parametrize("hot_rows", [0, None])
-def test_top_rank_keeps_ties(spark, hot_rows):
-    rows = close.latest_ranked(sample(spark), hot_rows=hot_rows).collect()
+def test_top_rank_keeps_ties(spark):
+    rows = close.latest_ranked(sample(spark)).collect()
     assert sorted(r.trade_pr for r in rows) == [5.0, 6.0, 7.0, 9.0]
 
 
@@ -83,5 +81,5 @@ def test_null_symbols_form_a_group(spark):
     df = trades(spark, [trade(DAY1, "9:0", 1.0, 1, symbol=None), trade(DAY1, "9:1", 2.0, 2, symbol=None)])
     rows = close.last_value_unbounded(df).collect()
     assert {r.last_trade_pr for r in rows} == {2.0}
-    found = close.latest_ranked(df, hot_rows=0).where(F.col("stock_symbol").isNull())
+    found = close.latest_ranked(df).where(F.col("stock_symbol").isNull())
     assert [r.event_seq_nb for r in found.collect()] == [2]

@@ -19,9 +19,8 @@ def prices(df):
     return sorted(r.trade_pr for r in df.collect())
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1, 1000])
-def test_reference_preset_keeps_each_arrival(spark, hot_rows):
-    out = correct.load_trades(events(spark, SAMPLE), "reference", hot_rows)
+def test_reference_preset_keeps_each_arrival(spark):
+    out = correct.load_trades(events(spark, SAMPLE), "reference")
     assert prices(out) == [10.0, 12.0, 13.0, 20.0, 99.0]
 
 
@@ -42,8 +41,7 @@ def test_time_only_matches_counts_the_mixed_rows(spark):
     assert (b.matched_rows, b.min_pr, b.max_pr) == (2, 10.0, 20.0)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 1000])
-def test_latest_per_key_with_ties_nulls_and_copies(spark, hot_rows):
+def test_latest_per_key_with_ties_nulls_and_copies(spark):
     rng = random.Random(5)
     data = []
     for _ in range(300):
@@ -58,7 +56,7 @@ def test_latest_per_key_with_ties_nulls_and_copies(spark, hot_rows):
         key = (r[0], r[1], r[2], r[6], r[5])
         best[key] = max(best.get(key, r[4]), r[4])
     expected = sorted(str(tuple(r)) for r in data if r[4] == best[(r[0], r[1], r[2], r[6], r[5])])
-    out = correct.keep_latest_ties(events(spark, data), hot_rows=hot_rows)
+    out = correct.keep_latest_ties(events(spark, data))
     assert sorted(str(tuple(r)) for r in out.collect()) == expected
 
 

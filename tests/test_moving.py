@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from rows import DAY1, DAY2, trade, trades
 from tickloom.operators import moving
 
-ALL_TIERS = [0, 20, None]
-
 
 def brute(rows, minutes):
     out = []
@@ -43,27 +41,24 @@ def random_trades(seed, n=250):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", ALL_TIERS)
 @pytest.mark.parametrize("minutes", [1, 180, 2000])
-def test_against_brute_force(spark, minutes, hot_rows):
+def test_against_brute_force(spark, minutes):
     rows = random_trades(minutes)
-    out = moving.moving_average(trades(spark, rows), minutes, hot_rows=hot_rows)
+    out = moving.moving_average(trades(spark, rows), minutes)
     same(sorted((tuple(r) for r in out.collect()), key=str), brute(rows, minutes))
 
 
-@pytest.mark.parametrize("hot_rows", [0, None])
-def test_times_without_zone(spark, hot_rows):
+def test_times_without_zone(spark):
     rows = random_trades(9)
     df = trades(spark, rows)
     plain = df.withColumn("latest_trade", F.col("latest_trade").cast("timestamp_ntz"))
-    out = moving.moving_average(plain, 180, hot_rows=hot_rows)
+    out = moving.moving_average(plain, 180)
     same(sorted((tuple(r) for r in out.collect()), key=str), brute(rows, 180))
 
 
-@pytest.mark.parametrize("hot_rows", [0, None])
-def test_frame_edges_are_included(spark, hot_rows):
+def test_frame_edges_are_included(spark):
     rows = [trade(DAY2, "9:0", 8.0, 1), trade(DAY2, "12:0", 16.0, 2), trade(DAY2, "12:0:1", 32.0, 3)]
-    out = moving.moving_average(trades(spark, rows), 180, hot_rows=hot_rows)
+    out = moving.moving_average(trades(spark, rows), 180)
     assert {r.event_seq_nb: r.mov_avg_pr for r in out.collect()} == {1: 8.0, 2: 12.0, 3: 24.0}
 
 
@@ -82,8 +77,7 @@ def test_width_must_be_positive(spark):
 
 
 def test_empty(spark):
-    for hot_rows in (0, None):
-        assert moving.moving_average(trades(spark, []), hot_rows=hot_rows).count() == 0
+    assert moving.moving_average(trades(spark, [])).count() == 0
 
 
 def test_last_average_of_the_range_is_the_rows_own(spark):
@@ -97,3 +91,14 @@ def test_last_value_of_the_range_respects_nulls(spark):
     rows = [trade(DAY2, "9:0", 5.0, 1), trade(DAY2, "9:0", None, 2), trade(DAY2, "9:1", 6.0, 3)]
     out = moving.last_value_range(trades(spark, rows), "trade_pr").collect()
     assert {r.event_seq_nb: r.last_value for r in out} == {1: None, 2: None, 3: 6.0}
+
+
+def test_last_value_beside_the_average(spark):
+    rows = random_trades(6)
+    df = trades(spark, rows)
+    out = moving.moving_average(df, last={"last_value": "trade_pr", "last_mov": "mov_avg_pr"})
+    other = moving.last_value_range(moving.moving_average(df), "trade_pr")
+    assert sorted(map(str, out.drop("last_mov").select(*other.columns).collect())) == sorted(
+        map(str, other.collect())
+    )
+    assert out.where(~F.col("mov_avg_pr").eqNullSafe(F.col("last_mov"))).count() == 0

@@ -2,12 +2,18 @@
 
 import pytest
 
-from tickloom.operators import asof, close, correct, enrich, moving, order
+from tickloom.operators import close, correct, enrich, moving, order
 from tickloom.queries import feed
 from tickloom.queries.registry import all_queries
 from tickloom.sources import feeds
 
 SF_DIR = "/root/testdata/sf0.001"
+#: These write files or tables, which is what they are for.
+WRITING = (
+    "ingest_csv", "ingest_json", "union_feeds", "scan_partition_trades", "scan_partition_quotes",
+    "scan_trade_date", "roundtrip_partitioned", "roundtrip_by_date", "roundtrip_enriched",
+    "staging_table", "latest_status", "job_status", "pipeline_end_to_end", "pipeline_two_batches",
+)
 
 
 def plan(df):
@@ -34,43 +40,50 @@ def test_no_python_no_nested_loop_no_global_sort(spark, name):
         assert node not in text
 
 
-def test_enrichment_shuffles(tables):
+def windows(df):
+    return [x for x in plan(df).splitlines() if "+- Window [" in x or ":- Window [" in x]
+
+
+def test_enrichment_has_no_window_over_a_whole_group(tables):
+    """Every window runs over the instants of a minute or the minutes of a day."""
     df = enrich.enrich_quotes(*tables)
-    # Averages twice (one exchange is reused when run), carried trades, time line.
-    assert initial(df, "Exchange hashpartitioning") == 4
-    assert initial(df, "Join") == 0
+    assert windows(df) and all("_slice" in x for x in windows(df))
     df.collect()
     assert "ReusedExchange" in plan(df)
 
 
-def test_moving_average_is_one_shuffle_without_a_sliding_frame(tables):
-    df = moving.moving_average(tables[0])
-    assert initial(df, "Exchange hashpartitioning") == 1
-    assert "PRECEDING" not in plan(df).upper().replace("UNBOUNDEDPRECEDING", "")
+def test_moving_average_reads_trades_twice_at_most(tables):
+    df = moving.moving_average(tables[0], last={"last_mov_avg_pr": "mov_avg_pr"})
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") <= 2
+    assert "PRECEDING" not in plan(df).upper().replace("UNBOUNDEDPRECEDING", "").replace("RANGEFRAME, -", "")
 
 
-def test_correction_is_one_shuffle_without_a_join(spark):
+def test_correction_keeps_ties_by_an_aggregate_and_a_join(spark):
     df = correct.load_trades(feed.batched_events(spark, SF_DIR))
-    assert initial(df, "Exchange hashpartitioning") == 1
-    assert initial(df, "Join") == 0
+    assert not windows(df) and initial(df, "LeftSemi") == 1
 
 
-def test_latest_arrival_merges_before_the_shuffle(spark):
-    df = correct.load_trades(feed.resent_events(spark, SF_DIR), "latest_arrival")
-    assert initial(df, "Exchange") == 1
-    assert initial(df, "Aggregate") == 2
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - set(WRITING)))
+def test_building_a_query_starts_no_job(spark, name):
+    context = spark.sparkContext
+    context.setJobGroup(f"build-{name}", name)
+    all_queries()[name](spark, SF_DIR)
+    started = context.statusTracker().getJobIdsForGroup(f"build-{name}")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert list(started) == []
 
 
-def test_large_groups_are_never_one_window_partition(tables):
-    averaged = moving.moving_average(tables[0], hot_rows=None)
-    df = asof.asof_last_trade(averaged, tables[1], hot_rows=0)
-    windows = [x for x in plan(df).splitlines() if "+- Window" in x or ":- Window" in x]
-    assert windows
-    assert any("_slice" in x for x in windows)
+def test_only_the_calendar_is_broadcast(spark):
+    for name in ("flagship_enriched_quotes", "asof_by_instant", "dense_rank_latest", "eod_quotes"):
+        assert "ResolvedHint" not in all_queries()[name](spark, SF_DIR)._jdf.queryExecution().analyzed().toString()
 
 
-def test_rank_filter_drops_rows_before_the_shuffle(tables):
-    assert "WindowGroupLimit" in plan(close.latest_ranked(tables[0]))
+def test_latest_arrival_merges_before_the_shuffle(spark):
+    df = correct.load_trades(feed.resent_events(spark, SF_DIR), "latest_arrival")
+    assert initial(df, "Exchange") == 1
+    assert initial(df, "Aggregate") == 2
 
 
 def test_top_n_sorts_nothing_globally(tables):
@@ -90,9 +103,3 @@ def test_filters_are_not_copied_into_the_parse(spark):
         text = plan(feeds.accepted(parse(lines)))
         filters = [x for x in text.splitlines() if "Filter" in x]
         assert filters and not any("from_json" in x or "split(" in x for x in filters)
-
-
-def test_counting_averages_nothing(spark, tables):
-    averaged = moving.moving_average(tables[0], hot_rows=None)
-    text = plan(averaged.groupBy("trade_dt").count())
-    assert "Window" not in text

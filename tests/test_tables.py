@@ -85,16 +85,20 @@ def test_scratch_follows_the_session(spark):
 class Session:
     def __init__(self, **settings):
         self.settings = {k.replace("_", "."): v for k, v in settings.items()}
-        self.conf = self
+        self.conf = self.sparkContext = self
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
 
+    def getCheckpointDir(self):
+        return self.settings.get("set.dir")
+
 
 def test_scratch_without_a_shared_folder():
-    assert tables.scratch_path(Session(spark_master="local[2]"), "x")
-    with pytest.raises(ValueError):
-        tables.scratch_path(Session(spark_master="yarn"), "x")
+    for master in ("local[2]", "yarn"):
+        with pytest.raises(ValueError):
+            tables.scratch_path(Session(spark_master=master), "x")
+    assert tables.scratch_path(Session(set_dir="s3a://b/c"), "x").startswith("s3a://b/c/x-")
     shared = Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
     assert tables.scratch_path(shared, "x").startswith("hdfs:///shared/x-")
 
@@ -113,4 +117,6 @@ def test_status_log(spark, tmp_path):
 def test_unknown_status_job(spark, tmp_path):
     root = str(tmp_path / "log")
     audit.append_status(spark, root, "1", "etl", "running", [])
+    assert not (tmp_path / "log").exists()
+    audit.append_status(spark, root, "1", "etl", "running", [DAY1])
     assert audit.job_status(spark.read.parquet(root), "9").count() == 0

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
 from tickloom.functions.timeaxis import MINUTE, epoch_micros, slice_start
-from tickloom.operators.heat import HOT_ROWS, by_heat
 from tickloom.schema import INSTRUMENT_DAY, QUOTE_TYPE, TIMELINE, TRADE_TYPE
 
 FILLED = {"trade_pr": "last_trade_price", "mov_avg_pr": "last_mov_avg_price"}
@@ -61,143 +60,80 @@ def forward_fill(
     by: Sequence[str] = INSTRUMENT_DAY,
     columns: Mapping[str, str] = FILLED,
     inclusive: bool = True,
-    spread: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Last non-null value of each column up to each row, as a new column.
 
     Rows are ordered by time; at one instant trades come before quotes, or after
     them when ``inclusive`` is false. A trade without a price comes before the
-    priced ones of its instant. Columns in ``spread`` hold at most one distinct
-    value per group and are set on all its rows. ``counted`` is a cheaper frame
-    with the group columns and times of the same rows.
-
-    An ordinary group is filled by one window. A large one is cut into minutes,
-    each starting from the last value before it; a minute too large for one task
-    is filled per distinct instant instead of per row.
+    priced ones of its instant, and shows the last one of an earlier instant.
     """
-    kept = [*timeline.columns, *columns.values()]
+    timed = _timed(timeline)
+    found = join_on(timed, _values_at(timed, by, columns), [*by, "_slice", "_us"], "left")
+    return found.withColumns(_seen(columns, inclusive)).select(*timeline.columns, *columns.values())
+
+
+def _timed(timeline: DataFrame) -> DataFrame:
     us = epoch_micros(timeline, "event_tm")
-    timed = timeline.withColumns({"_us": us, "_slice": slice_start(us, MINUTE)})
-
-    def cold(rows: DataFrame) -> DataFrame:
-        order = _time_order(by, columns, inclusive)
-        so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        new = {out: F.last(c, ignorenulls=True).over(so_far) for c, out in columns.items()}
-        new.update({c: F.max(c).over(whole) for c in spread})
-        return rows.withColumns(new).select(*kept)
-
-    if counted is not None:
-        us = epoch_micros(counted, "event_tm")
-        counted = counted.select(*by, slice_start(us, MINUTE).alias("_slice"))
-
-    def hot(rows: DataFrame) -> DataFrame:
-        minute = [*by, "_slice"]
-        counts = rows.select(*minute) if counted is None else counted
-        carried = _carried_into_minutes(rows, by, columns)
-        if spread:
-            # One row per large group, of which there are MAX_HOT_GROUPS at most.
-            single = rows.groupBy(*by).agg(*[F.max(c).alias(c) for c in spread])
-            rows = join_on(rows.drop(*spread), single, by, "left", hint=F.broadcast)
-        return by_heat(
-            rows,
-            minute,
-            lambda part: _fill_minutes(part, carried, minute, columns, inclusive).select(*kept),
-            lambda part: _fill_instants(part, carried, minute, columns, inclusive).select(*kept),
-            hot_rows,
-            counts,
-        )
-
-    return by_heat(timed, by, cold, hot, hot_rows, counted)
-
-
-def _time_order(by: Sequence[str], columns: Mapping[str, str], inclusive: bool) -> WindowSpec:
-    lead = next(iter(columns))
-    kind = F.desc("rec_type") if inclusive else F.asc("rec_type")
-    return Window.partitionBy(*by).orderBy(
-        "_us", kind, F.col(lead).isNotNull(), "event_seq_nb", lead
-    )
+    return timeline.withColumns({"_us": us, "_slice": slice_start(us, MINUTE)})
 
 
-def _carried_into_minutes(
-    rows: DataFrame, by: Sequence[str], columns: Iterable[str]
+def _values_at(
+    timed: DataFrame, by: Sequence[str], columns: Iterable[str], spread: Sequence[str] = ()
 ) -> DataFrame:
-    """Per minute with any row the last value of each column before it.
+    """Per distinct instant the last value at it and the last one before it.
 
-    Both aggregates merge within tasks first; a day has a bounded number of
-    minutes, so the running window is small however many rows the group has.
+    Rows of an instant are merged within tasks. One window then runs over the
+    instants of a minute, one over the minutes of a group: both are bounded however
+    many rows a group has. The minute is fixed and does not depend on the data.
+    Columns in ``spread`` hold at most one distinct value per group, which all of
+    its instants get.
     """
-    minutes = rows.select(*by, "_slice").distinct()
-    valued = rows.where(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
-    ends = valued.groupBy(*by, "_slice").agg(
+    minute = [*by, "_slice"]
+    at = [
+        F.max(F.when(F.col(c).isNotNull(), F.struct("event_seq_nb", c))).getField(c).alias(f"_at_{c}")
+        for c in columns
+    ]
+    whole = [F.max(c).alias(c) for c in spread]
+    instants = timed.groupBy(*minute, "_us").agg(*at, *whole)
+    ends = instants.groupBy(*minute).agg(
         *[
-            F.max(F.when(F.col(c).isNotNull(), F.struct("_us", "event_seq_nb", c)))
-            .getField(c)
+            F.max(F.when(F.col(f"_at_{c}").isNotNull(), F.struct("_us", f"_at_{c}")))
+            .getField(f"_at_{c}")
             .alias(f"_end_{c}")
             for c in columns
-        ]
+        ],
+        *whole,
     )
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return join_on(minutes, ends, [*by, "_slice"], "left").select(
-        *by,
-        "_slice",
+    minutes = Window.partitionBy(*by).orderBy("_slice")
+    earlier = minutes.rowsBetween(Window.unboundedPreceding, -1)
+    all_day = minutes.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = ends.select(
+        *minute,
         *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns],
+        *[F.max(c).over(all_day).alias(c) for c in spread],
     )
-
-
-def _fill_minutes(
-    rows: DataFrame,
-    carried: DataFrame,
-    minute: Sequence[str],
-    columns: Mapping[str, str],
-    inclusive: bool,
-) -> DataFrame:
-    """Fill by one window per minute; join and window share one shuffle of the rows."""
-    order = _time_order(minute, columns, inclusive)
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = {out: F.last(c, ignorenulls=True).over(so_far) for c, out in columns.items()}
-    filled = join_on(rows, carried, minute, "left").withColumns(within)
-    return filled.withColumns(
-        {out: F.coalesce(out, f"_carry_{c}") for c, out in columns.items()}
-    )
-
-
-def _fill_instants(
-    rows: DataFrame,
-    carried: DataFrame,
-    minute: Sequence[str],
-    columns: Mapping[str, str],
-    inclusive: bool,
-) -> DataFrame:
-    """Fill per distinct instant and join back, where the join may split an instant.
-
-    A minute has a bounded number of instants, however many rows it has. A quote
-    sees the last value at its instant (or before it), a trade its own or else
-    the last one before its instant.
-    """
-    at = {
-        c: F.max(F.when(F.col(c).isNotNull(), F.struct("event_seq_nb", c))).getField(c)
-        for c in columns
-    }
-    instants = rows.groupBy(*minute, "_us").agg(*[at[c].alias(f"_at_{c}") for c in columns])
     before = Window.partitionBy(*minute).orderBy("_us").rowsBetween(Window.unboundedPreceding, -1)
-    values = join_on(instants, carried, minute, "left").withColumns(
-        {
-            f"_before_{c}": F.coalesce(
-                F.last(f"_at_{c}", ignorenulls=True).over(before), F.col(f"_carry_{c}")
+    joined = join_on(instants.drop(*spread), carried, minute, "left")
+    return joined.select(
+        *minute, "_us", *spread,
+        *[f"_at_{c}" for c in columns],
+        *[
+            F.coalesce(F.last(f"_at_{c}", ignorenulls=True).over(before), F.col(f"_carry_{c}")).alias(
+                f"_before_{c}"
             )
             for c in columns
-        }
+        ],
     )
-    found = join_on(rows, values, [*minute, "_us"], "left")
+
+
+def _seen(columns: Mapping[str, str], inclusive: bool) -> dict[str, Column]:
+    """What a row sees: a quote the last value at its instant or before it, a trade its own first."""
+    quote = F.col("rec_type") == QUOTE_TYPE
     new = {}
     for c, out in columns.items():
-        own = F.coalesce(c, f"_before_{c}")
-        seen = F.coalesce(f"_at_{c}", f"_before_{c}") if inclusive else F.col(f"_before_{c}")
-        new[out] = F.when(F.col("rec_type") == QUOTE_TYPE, seen).otherwise(own)
-    return found.withColumns(new)
+        latest = F.coalesce(f"_at_{c}", f"_before_{c}") if inclusive else F.col(f"_before_{c}")
+        new[out] = F.when(quote, latest).otherwise(F.coalesce(c, f"_before_{c}"))
+    return new
 
 
 def asof_last_trade(
@@ -206,16 +142,16 @@ def asof_last_trade(
     seeds: DataFrame | None = None,
     inclusive: bool = True,
     close: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Each quote with the last trade price and average as of its time.
 
     A quote sees the trades of its own date and instrument and the carried-in one.
+    Only quotes are joined back to the instants; trades are merged per instant.
     """
-    timeline = merged_timeline(trades, quotes, seeds, close)
+    timed = _timed(merged_timeline(trades, quotes, seeds, close))
     spread = [] if close is None else [close]
-    filled = forward_fill(
-        timeline, inclusive=inclusive, spread=spread, hot_rows=hot_rows, counted=counted
-    )
-    return filled.where(F.col("rec_type") == QUOTE_TYPE).drop(*FILLED)
+    values = _values_at(timed, INSTRUMENT_DAY, FILLED, spread)
+    wanted = _timed(_shaped(quotes, QUOTE_TYPE, "latest_quote"))
+    found = join_on(wanted, values, [*INSTRUMENT_DAY, "_slice", "_us"], "left")
+    names = [c for c in TIMELINE.names if c not in FILLED]
+    return found.withColumns(_seen(FILLED, inclusive)).select(*names, *spread, *FILLED.values())

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
 from tickloom.functions.timeaxis import MINUTE, epoch_micros, next_date, slice_start
-from tickloom.operators.heat import HOT_ROWS, by_heat
 from tickloom.schema import INSTRUMENT, INSTRUMENT_DAY
 
 
@@ -91,50 +90,34 @@ def dense_rank_latest(
     by: Sequence[str] = INSTRUMENT_DAY,
     time: str = "latest_trade",
     out: str = "time_rank",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Dense rank by time, latest first; rows at one instant share a rank."""
-    kept = [*rows.columns, out]
-    timed = rows.withColumn("_us", epoch_micros(rows, time))
-
-    def cold(part: DataFrame) -> DataFrame:
-        ranks = F.dense_rank().over(Window.partitionBy(*by).orderBy(F.desc("_us")))
-        return part.withColumn(out, ranks).select(*kept)
-
-    # Rank within the minute plus the number of distinct instants in later minutes.
-    def hot(part: DataFrame) -> DataFrame:
-        minute = slice_start(F.col("_us"), MINUTE)
-        instants = part.select(*by, "_us").distinct().withColumn("_slice", minute)
-        sizes = instants.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-        later = Window.partitionBy(*by).orderBy(F.desc("_slice"))
-        later = later.rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select(*by, "_slice", F.sum("_size").over(later).alias("_offset"))
-        within = F.dense_rank().over(Window.partitionBy(*by, "_slice").orderBy(F.desc("_us")))
-        rank = (within + F.coalesce("_offset", F.lit(0))).cast("int")
-        ranked = join_on(instants, offsets, [*by, "_slice"], "left").withColumn(out, rank)
-        return join_on(part, ranked.select(*by, "_us", out), [*by, "_us"], "left").select(*kept)
+    """Dense rank by time, latest first; rows at one instant share a rank.
 
-    return by_heat(timed, by, cold, hot, hot_rows)
+    The rank is that of the distinct instant within its minute plus the number of
+    distinct instants in later minutes, so no window holds more than a minute's
+    instants or a day's minutes. Rows meet their instant in a join.
+    """
+    timed = rows.withColumn("_us", epoch_micros(rows, time))
+    minute = slice_start(F.col("_us"), MINUTE)
+    instants = timed.select(*by, "_us").distinct().withColumn("_slice", minute)
+    sizes = instants.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    later = Window.partitionBy(*by).orderBy(F.desc("_slice"))
+    later = later.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, "_slice", F.sum("_size").over(later).alias("_offset"))
+    within = F.dense_rank().over(Window.partitionBy(*by, "_slice").orderBy(F.desc("_us")))
+    rank = (within + F.coalesce("_offset", F.lit(0))).cast("int")
+    ranked = join_on(instants, offsets, [*by, "_slice"], "left").withColumn(out, rank)
+    found = join_on(timed, ranked.select(*by, "_us", out), [*by, "_us"], "left")
+    return found.select(*rows.columns, out)
 
 
 def latest_ranked(
-    rows: DataFrame,
-    by: Sequence[str] = INSTRUMENT_DAY,
-    time: str = "latest_trade",
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, by: Sequence[str] = INSTRUMENT_DAY, time: str = "latest_trade"
 ) -> DataFrame:
     """All rows of rank 1 by latest time, ties kept."""
-
-    # The rank filter drops rows before the shuffle already.
-    def cold(part: DataFrame) -> DataFrame:
-        ranks = F.dense_rank().over(Window.partitionBy(*by).orderBy(F.desc(time)))
-        return part.withColumn("_rank", ranks).where(F.col("_rank") == 1).drop("_rank")
-
-    def hot(part: DataFrame) -> DataFrame:
-        best = part.groupBy(*by).agg(F.max(time).alias(time))
-        return join_on(part, best, [*by, time], "left_semi")
-
-    return by_heat(rows.where(F.col(time).isNotNull()), by, cold, hot, hot_rows)
+    found = rows.where(F.col(time).isNotNull())
+    best = found.groupBy(*by).agg(F.max(time).alias(time))
+    return join_on(found, best, [*by, time], "left_semi")
 
 
 def movement(price: Column, close: Column) -> Column:

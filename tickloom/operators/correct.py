@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
-from tickloom.operators.heat import HOT_ROWS, split_plan
 from tickloom.schema import QUOTE, QUOTE_TYPE, TRADE, TRADE_TYPE
 
 # The two correction keys.
 BATCH_KEY = ("trade_dt", "rec_type", "symbol", "arrival_tm", "event_seq_nb")
 EVENT_KEY = ("trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb")
 
-# Keys are nearly unique, so groups are counted per hash slot of the key.
-SLOTS = 16_384
+# The columns of the two record types.
+TRADE_EVENT = (
+    "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb", "arrival_tm",
+    "trade_pr",
+)
+QUOTE_EVENT = (
+    "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb", "arrival_tm",
+    "bid_pr", "bid_size", "ask_pr", "ask_size",
+)
 
 
 def latest_event_time(
@@ -25,38 +31,15 @@ def latest_event_time(
     return df.groupBy(*key).agg(F.max(time).alias(out))
 
 
-def _hot_slots(slotted: DataFrame, hot_rows: int) -> list[Row]:
-    """Slots that hold a large group of copies.
-
-    An even spread gives each slot the same share; a slot with more than twice
-    that share has a large group in it.
-    """
-    sizes = slotted.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")).collect()  # SLOTS at most
-    limit = max(hot_rows, 2 * sum(row.n for row in sizes) // SLOTS)
-    return [Row(_slot=row["_slot"]) for row in sizes if row.n > limit]
-
-
 def keep_latest_ties(
-    df: DataFrame,
-    key: Sequence[str] = BATCH_KEY,
-    time: str = "event_tm",
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, key: Sequence[str] = BATCH_KEY, time: str = "event_tm"
 ) -> DataFrame:
-    """Rows whose time is the largest of their key, all of them when several tie."""
-    slotted = df.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(SLOTS)))
-
-    def cold(rows: DataFrame) -> DataFrame:
-        best = F.max(time).over(Window.partitionBy(*key))
-        return rows.withColumn("_best", best).where(F.col(time) == F.col("_best")).drop("_best")
-
-    # The aggregate holds one row per key, and the join may split the rows of a key.
-    def hot(rows: DataFrame) -> DataFrame:
-        best = rows.groupBy(*key).agg(F.max(time).alias(time))
-        found = rows.where(F.col(time).isNotNull())
-        return join_on(found, best, [*key, time], "left_semi")
+    """Rows whose time is the largest of their key, all of them when several tie.
 
-    large = _hot_slots(slotted, hot_rows)
-    return split_plan(slotted, ["_slot"], large, cold, hot).drop("_slot")
+    The aggregate merges within tasks, and the join may split the rows of a key.
+    """
+    best = df.groupBy(*key).agg(F.max(time).alias(time))
+    return join_on(df.where(F.col(time).isNotNull()), best, [*key, time], "left_semi")
 
 
 def keep_latest_one(
@@ -71,7 +54,7 @@ def keep_latest_one(
     return df.groupBy(*key).agg(best).select(*key, "_best.*").select(*df.columns)
 
 
-def correct_latest(df: DataFrame, preset: str = "reference", hot_rows: int = HOT_ROWS) -> DataFrame:
+def correct_latest(df: DataFrame, preset: str = "reference") -> DataFrame:
     """Corrected events.
 
     ``reference``: per (date, type, symbol, arrival, sequence) the rows at the
@@ -79,42 +62,32 @@ def correct_latest(df: DataFrame, preset: str = "reference", hot_rows: int = HOT
     event time, sequence) the row that arrived last.
     """
     if preset == "reference":
-        return keep_latest_ties(df, BATCH_KEY, "event_tm", hot_rows)
+        return keep_latest_ties(df, BATCH_KEY, "event_tm")
     if preset == "latest_arrival":
         return keep_latest_one(df, EVENT_KEY, "arrival_tm")
     raise ValueError(f"unknown preset {preset!r}")
 
 
 def project_trades(events: DataFrame) -> DataFrame:
-    return events.select(
-        "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb", "arrival_tm",
-        "trade_pr",
-    )
+    return events.select(*TRADE_EVENT)
 
 
 def project_quotes(events: DataFrame) -> DataFrame:
-    return events.select(
-        "trade_dt", "rec_type", "symbol", "exchange", "event_tm", "event_seq_nb", "arrival_tm",
-        "bid_pr", "bid_size", "ask_pr", "ask_size",
-    )
+    return events.select(*QUOTE_EVENT)
 
 
-def load_trades(
-    events: DataFrame, preset: str = "reference", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def load_trades(events: DataFrame, preset: str = "reference") -> DataFrame:
     """Corrected trades of all dates."""
     rows = project_trades(events.where(F.col("rec_type") == TRADE_TYPE))
     names = {"symbol": "stock_symbol", "exchange": "stock_exchange", "event_tm": "latest_trade"}
-    return correct_latest(rows, preset, hot_rows).withColumnsRenamed(names).select(*TRADE.names)
+    return correct_latest(rows, preset).withColumnsRenamed(names).select(*TRADE.names)
 
 
-def load_quotes(
-    events: DataFrame, preset: str = "reference", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def load_quotes(events: DataFrame, preset: str = "reference") -> DataFrame:
     """Corrected quotes of all dates."""
     rows = project_quotes(events.where(F.col("rec_type") == QUOTE_TYPE))
     names = {"symbol": "stock_symbol", "exchange": "stock_exchange", "event_tm": "latest_quote"}
-    return correct_latest(rows, preset, hot_rows).withColumnsRenamed(names).select(*QUOTE.names)
+    return correct_latest(rows, preset).withColumnsRenamed(names).select(*QUOTE.names)
 
 
 def time_only_matches(

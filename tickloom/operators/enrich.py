@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.operators.asof import asof_last_trade
 from tickloom.operators.close import prior_day_close, with_movement
-from tickloom.operators.heat import HOT_ROWS, has_hot_group
 from tickloom.operators.moving import moving_average
-from tickloom.schema import ENRICHED, INSTRUMENT_DAY, SYMBOL_DAY
-from tickloom.sources.tables import staged
+from tickloom.schema import ENRICHED
 
 
 def carried_trades(
@@ -22,22 +19,15 @@ def carried_trades(
 
 
 def enrich_averaged(
-    averaged: DataFrame,
-    quotes: DataFrame,
-    inclusive: bool = True,
-    calendar: str = "calendar",
-    hot_rows: int | None = HOT_ROWS,
-    counted: DataFrame | None = None,
+    averaged: DataFrame, quotes: DataFrame, inclusive: bool = True, calendar: str = "calendar"
 ) -> DataFrame:
     """Enriched quotes from trades that already have ``mov_avg_pr``.
 
-    The prior close travels with the carried-in trade through the shuffle the
+    The prior close travels with the carried-in trade through the minutes the
     as-of fill needs anyway, so attaching it costs no join.
     """
     seeds = carried_trades(averaged, quotes, calendar)
-    filled = asof_last_trade(
-        averaged, quotes, seeds, inclusive, "close_pr", hot_rows, counted
-    )
+    filled = asof_last_trade(averaged, quotes, seeds, inclusive, "close_pr")
     return with_movement(filled).select(*ENRICHED.names)
 
 
@@ -47,19 +37,9 @@ def enrich_quotes(
     minutes: int = 180,
     inclusive: bool = True,
     calendar: str = "calendar",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each quote with last trade price, its moving average, prior close and movement.
 
     Any number of dates is handled in one pass.
     """
-    counted = trades.select(*INSTRUMENT_DAY, F.col("latest_trade").alias("event_tm")).unionByName(
-        quotes.select(*INSTRUMENT_DAY, F.col("latest_quote").alias("event_tm"))
-    )
-    # A symbol's day holds at least its trades and the rows of each of its instruments.
-    if not has_hot_group(counted, SYMBOL_DAY, hot_rows):
-        averaged = moving_average(trades, minutes, hot_rows=None)
-        return enrich_averaged(averaged, quotes, inclusive, calendar, None)
-    # Several branches read the averages then, so they are computed once.
-    averaged = staged(moving_average(trades, minutes, hot_rows=hot_rows), "averaged")
-    return enrich_averaged(averaged, quotes, inclusive, calendar, hot_rows, counted)
+    return enrich_averaged(moving_average(trades, minutes), quotes, inclusive, calendar)

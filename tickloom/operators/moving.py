@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.nullsafe import join_on
 from tickloom.functions.timeaxis import MINUTE, epoch_micros, slice_start
-from tickloom.operators.heat import HOT_ROWS, by_heat
 from tickloom.schema import SYMBOL_DAY
 
 
@@ -20,38 +19,40 @@ def moving_average(
     time: str = "latest_trade",
     price: str = "trade_pr",
     out: str = "mov_avg_pr",
-    hot_rows: int | None = HOT_ROWS,
+    last: Mapping[str, str] | None = None,
+    tiebreak: Sequence[str] = ("event_seq_nb",),
 ) -> DataFrame:
     """Average price of the last ``minutes`` up to each trade, trades at its instant included.
 
     Equals ``avg(price)`` over a RANGE frame of that width, in linear time. A
-    frame reaching from one slice into the one before is a running sum from the
-    start of its own slice plus a running sum back from the end of the other, so
-    a row is added a fixed number of times however many rows a frame holds, and
-    nothing is ever subtracted.
+    frame reaching from one slice into an earlier one is a running sum from the
+    start of its own slice, whole slices, and a running sum back from the end of
+    the first, so a row is added a fixed number of times however many rows a frame
+    holds, and nothing is ever subtracted.
+
+    Trades of one instant share the result: they are merged within tasks first, so
+    a window never holds more than one row per microsecond of a minute, and the
+    averages are joined back on the instant, where Spark can split a large one.
+
+    ``last`` names columns to add, each with the last value (nulls respected) of a
+    column, or of the average itself, in a frame that ends at the current row. The
+    frame's last rows are those at the row's own instant, whatever its width.
     """
     if minutes < 1:
         raise ValueError("minutes must be positive")
-    width = minutes * MINUTE
+    last = last or {}
     rows = trades.withColumn("_us", epoch_micros(trades, time))
-    kept = [*trades.columns, out]
-
-    def cold(part: DataFrame) -> DataFrame:
-        value = F.col(price).cast("double")
-        single = part.withColumns({"_sum": value, "_count": value.isNotNull().cast("bigint")})
-        return _averages(single, by, width, width, out).select(*kept)
-
-    # Trades of one instant share the result, so a minute of a large group never
-    # holds more than one row per microsecond.
-    def hot(part: DataFrame) -> DataFrame:
-        value = F.col(price).cast("double")
-        instants = part.groupBy(*by, "_us").agg(
-            F.sum(value).alias("_sum"), F.count(value).alias("_count")
-        )
-        averages = _averages(instants, by, width, MINUTE, out).select(*by, "_us", out)
-        return join_on(part, averages, [*by, "_us"], "left").select(*kept)
-
-    return by_heat(rows, by, cold, hot, hot_rows)
+    value = F.col(price).cast("double")
+    found = [
+        F.max(F.struct(*tiebreak, c)).getField(c).alias(new) for new, c in last.items() if c != out
+    ]
+    instants = rows.groupBy(*by, "_us").agg(
+        F.sum(value).alias("_sum"), F.count(value).alias("_count"), *found
+    )
+    averages = _averages(instants, by, minutes * MINUTE, MINUTE, out)
+    names = [F.col(out if c == out else new).alias(new) for new, c in last.items()]
+    averages = averages.select(*by, "_us", out, *names)
+    return join_on(rows, averages, [*by, "_us"], "left").select(*trades.columns, out, *last)
 
 
 def _averages(rows: DataFrame, by: Sequence[str], width: int, step: int, out: str) -> DataFrame:
@@ -116,7 +117,8 @@ def last_value_range(
     """Last value of a RANGE frame that ends at the current row, nulls respected.
 
     The frame's last rows are those at the row's own instant, whatever its width,
-    so this is the value of the highest ``tiebreak`` there.
+    so this is the value of the highest ``tiebreak`` there. The input is read twice;
+    for columns beside a moving average use its ``last``.
     """
     key = [*by, time]
     last = F.max(F.struct(*tiebreak, value)).getField(value).alias(out)

@@ -44,10 +44,13 @@ def append_status(
     job_name: str,
     status: str,
     trade_dates: Sequence[dt.date],
+    at: dt.datetime | None = None,
 ) -> None:
-    """Add one status row per trade date to the log; earlier rows stay."""
-    now = dt.datetime.now(dt.timezone.utc)
-    rows = [(job_id, job_name, status, day, now) for day in trade_dates or [None]]
+    """Add one status row per trade date to the log, now or with the time given; earlier rows stay."""
+    at = at or dt.datetime.now(dt.timezone.utc)
+    rows = [(job_id, job_name, status, day, at) for day in trade_dates]
+    if not rows:
+        return
     spark.createDataFrame(rows, STATUS_FIELDS).coalesce(1).write.mode("append").parquet(root)
 
 

@@ -7,13 +7,13 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.correct import load_quotes, load_trades
 from tickloom.operators.enrich import enrich_averaged
-from tickloom.operators.heat import HOT_ROWS
 from tickloom.operators.moving import moving_average
 from tickloom.plans import audit
 from tickloom.schema import (
@@ -28,7 +28,7 @@ from tickloom.schema import (
     TRADE_TYPE,
 )
 from tickloom.sources.feeds import ingest, quarantined
-from tickloom.sources.tables import write_by_date, write_partitioned
+from tickloom.sources.tables import write_by_date
 
 JOB_NAME = "analytical_etl"
 
@@ -38,7 +38,7 @@ class PipelineConfig:
     """Inputs, output root and the choices of a run.
 
     ``dates`` limits correction and enrichment to those trade dates; by default
-    all dates of this batch's accepted events are processed.
+    all dates that the batch touches are processed.
     """
 
     out_root: str
@@ -50,14 +50,12 @@ class PipelineConfig:
     minutes: int = 180
     inclusive: bool = True
     calendar: str = "calendar"
-    hot_rows: int = HOT_ROWS
 
     def table(self, name: str) -> str:
         return f"{self.out_root.rstrip('/')}/{name}"
 
-
-def _landing(conf: PipelineConfig) -> str:
-    return f"{conf.table('landing')}/batch_id={conf.batch_id}"
+    def batch(self, name: str) -> str:
+        return f"{self.table(name)}/batch_id={self.batch_id}"
 
 
 def _read(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -70,16 +68,18 @@ def _on(dates: Sequence[dt.date]) -> Column:
 
 
 def load_raw(spark: SparkSession, conf: PipelineConfig) -> None:
-    """Parse the feeds once into the batch's landing folder, split by record type.
+    """Parse the feeds once into the batch's landing folder, by trade date and record type.
 
-    The ``B`` part is the quarantine. No shuffle is needed. Running the same batch
-    again replaces its folder.
+    The ``B`` part is the quarantine. Running the same batch again replaces its
+    folder, and with it its rows of every date.
     """
     feeds = ingest(spark, conf.csv_globs, conf.json_globs)
-    feeds.write.mode("overwrite").partitionBy("partition").parquet(_landing(conf))
-    parsed = _read(spark, _landing(conf), LANDING)
-    counts = audit.run_audit(parsed, conf.batch_id)
-    write_partitioned(counts, conf.table("audit"), ["batch_id"])
+    by = ["trade_dt", "partition"]
+    whole = feeds.hint("rebalance", *[F.col(c) for c in by])
+    whole.write.mode("overwrite").partitionBy(*by).parquet(conf.batch("landing"))
+    parsed = _read(spark, conf.batch("landing"), LANDING)
+    counts = audit.run_audit(parsed, conf.batch_id).drop("batch_id")
+    counts.write.mode("overwrite").parquet(conf.batch("audit"))
 
 
 def read_audit(spark: SparkSession, conf: PipelineConfig) -> DataFrame:
@@ -87,83 +87,133 @@ def read_audit(spark: SparkSession, conf: PipelineConfig) -> DataFrame:
 
 
 def read_quarantine(spark: SparkSession, conf: PipelineConfig) -> DataFrame:
-    return quarantined(_read(spark, _landing(conf), LANDING))
+    return quarantined(_read(spark, conf.batch("landing"), LANDING))
 
 
-def batch_dates(spark: SparkSession, conf: PipelineConfig) -> list[dt.date]:
-    """Trade dates of this run: at most one value per calendar day of its feeds."""
-    if conf.dates is not None:
-        return sorted(conf.dates)
-    counts = read_audit(spark, conf).where(F.col("batch_id") == conf.batch_id)
+def _days(counts: DataFrame) -> list[dt.date]:
+    """Distinct trade dates of audit rows: at most one value per calendar day."""
     rows = counts.where(F.col("trade_dt").isNotNull()).select("trade_dt").distinct().collect()
     return sorted(row.trade_dt for row in rows)
 
 
-def _events(
+def batch_dates(spark: SparkSession, conf: PipelineConfig) -> list[dt.date]:
+    """Trade dates of the batch as it was landed last; none if it never was."""
+    try:
+        counts = read_audit(spark, conf)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return _days(counts.where(F.col("batch_id") == conf.batch_id))
+
+
+def landed_dates(spark: SparkSession, conf: PipelineConfig, rec_type: str) -> list[dt.date]:
+    """Dates for which any batch has accepted rows of the type; correction keeps some of each."""
+    return _days(read_audit(spark, conf).where(F.col("partition") == rec_type))
+
+
+def landed_events(
     spark: SparkSession, conf: PipelineConfig, rec_type: str, dates: Sequence[dt.date]
 ) -> DataFrame:
-    landed = _read(spark, _landing(conf), LANDING)
-    return landed.where((F.col("partition") == rec_type) & _on(dates)).select(*EVENT.names)
+    """Events of all batches. A row that several batches deliver counts as in the one with most of it."""
+    schema = T.StructType([*EVENT.fields, T.StructField("batch_id", T.StringType())])
+    landed = _read(spark, conf.table("landing"), schema)
+    rows = landed.where((F.col("partition") == rec_type) & _on(dates))
+    copies = rows.groupBy(*EVENT.names, "batch_id").agg(F.count(F.lit(1)).alias("_copies"))
+    most = copies.groupBy(*EVENT.names).agg(F.max("_copies").alias("_copies"))
+    each = F.explode(F.sequence(F.lit(1), F.col("_copies")))
+    return most.select(*EVENT.names, each.alias("_copy")).drop("_copy")
+
+
+def replace_dates(
+    rows: DataFrame, root: str, dates: Sequence[dt.date], filled: Sequence[dt.date]
+) -> None:
+    """Replace ``dates`` of a table; those that are not ``filled`` end up with no rows."""
+    write_by_date(rows, root)
+    empty = rows.drop("trade_dt").limit(0)
+    for day in sorted({*dates} - {*filled}):
+        empty.coalesce(1).write.mode("overwrite").parquet(f"{root}/trade_dt={day}")
 
 
 def load_eod_trades(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> None:
-    events = _events(spark, conf, TRADE_TYPE, dates)
-    write_by_date(load_trades(events, conf.preset, conf.hot_rows), conf.table("trade"))
+    rows = load_trades(landed_events(spark, conf, TRADE_TYPE, dates), conf.preset)
+    filled = landed_dates(spark, conf, TRADE_TYPE)
+    replace_dates(rows, conf.table("trade"), dates, filled)
 
 
 def load_eod_quotes(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> None:
-    events = _events(spark, conf, QUOTE_TYPE, dates)
-    write_by_date(load_quotes(events, conf.preset, conf.hot_rows), conf.table("quote"))
+    rows = load_quotes(landed_events(spark, conf, QUOTE_TYPE, dates), conf.preset)
+    filled = landed_dates(spark, conf, QUOTE_TYPE)
+    replace_dates(rows, conf.table("quote"), dates, filled)
 
 
 def stage_averages(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> None:
     """Moving averages of the run's dates, written because later steps and runs read them."""
     trades = _read(spark, conf.table("trade"), TRADE).where(_on(dates))
-    averaged = moving_average(trades, conf.minutes, hot_rows=conf.hot_rows)
-    write_by_date(averaged, conf.table("trade_moving_avg"))
+    filled = landed_dates(spark, conf, TRADE_TYPE)
+    replace_dates(moving_average(trades, conf.minutes), conf.table("trade_moving_avg"), dates, filled)
 
 
-def seen_dates(
-    averaged: DataFrame, dates: Sequence[dt.date], calendar: str
-) -> list[dt.date]:
-    """Dates whose trades the quotes of ``dates`` can see; other partitions stay unread."""
+def prior_date(day: dt.date, traded: Sequence[dt.date], calendar: str) -> dt.date | None:
+    """The date whose close quotes of ``day`` see."""
     if calendar == "calendar":
-        prior = [day - dt.timedelta(days=1) for day in dates]
-    else:
-        rows = averaged.select("trade_dt").distinct().collect()  # one row per calendar day
-        traded = [row.trade_dt for row in rows]
-        prior = [max((t for t in traded if t < day), default=day) for day in dates]
-    return sorted({*dates, *prior})
+        return day - dt.timedelta(days=1)
+    return max((t for t in traded if t < day), default=None)
 
 
-def analyze(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> None:
-    """Enriched quotes of the run's dates."""
+def affected_dates(
+    dates: Sequence[dt.date], traded: Sequence[dt.date], quoted: Sequence[dt.date], calendar: str
+) -> list[dt.date]:
+    """``dates`` and the later quote dates whose prior close may have changed with them."""
+    found = {*dates}
+    for day in quoted:
+        prior = prior_date(day, traded, calendar)
+        # A changed date that no longer trades has moved the prior date to an earlier one.
+        if any(d < day and (prior is None or d >= prior) for d in dates):
+            found.add(day)
+    return sorted(found)
+
+
+def analyze(spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date]) -> list[dt.date]:
+    """Enriched quotes of the run's dates and of the dates that see their close; returns these dates."""
     stage_averages(spark, conf, dates)
-    quotes = _read(spark, conf.table("quote"), QUOTE).where(_on(dates))
+    traded = landed_dates(spark, conf, TRADE_TYPE)
+    quoted = landed_dates(spark, conf, QUOTE_TYPE)
+    wanted = affected_dates(dates, traded, quoted, conf.calendar)
+    prior = {prior_date(day, traded, conf.calendar) for day in wanted} - {None}
+    quotes = _read(spark, conf.table("quote"), QUOTE).where(_on(wanted))
     averaged = _read(spark, conf.table("trade_moving_avg"), AVERAGED_TRADE)
-    seen = averaged.where(_on(seen_dates(averaged, dates, conf.calendar)))
-    enriched = enrich_averaged(seen, quotes, conf.inclusive, conf.calendar, conf.hot_rows)
-    write_by_date(enriched, conf.table("enriched"))
+    seen = averaged.where(_on(sorted({*wanted, *prior})))
+    enriched = enrich_averaged(seen, quotes, conf.inclusive, conf.calendar)
+    replace_dates(enriched, conf.table("enriched"), wanted, quoted)
+    return wanted
 
 
 def run_pipeline(spark: SparkSession, conf: PipelineConfig) -> DataFrame:
-    """Run all steps in order and return the enriched quotes of the run's dates.
+    """Run all steps in order and return the enriched quotes of the dates it has replaced.
 
-    Each step reads the tables of the one before, so a lost executor costs only
-    the tasks of the running step. A step that fails ends the run: its status is
-    logged as failed and the error is raised.
+    The dates that the batch touches, now or when it was landed before, are corrected
+    from the events of all batches and replaced, and the dates after them that see
+    their close are enriched again. Each step reads the tables of the one before, so a
+    lost executor costs only the tasks of the running step. A step that fails ends
+    the run: its status is logged as failed and the error is raised.
     """
     log = conf.table("job_status")
-    dates: list[dt.date] = list(conf.dates or [])
-    audit.append_status(spark, log, conf.batch_id, JOB_NAME, audit.RUNNING, dates)
+    dates = sorted(conf.dates or [])
+    started = False
     try:
+        before = batch_dates(spark, conf)
         load_raw(spark, conf)
-        dates = batch_dates(spark, conf)
+        dates = dates or sorted({*before, *batch_dates(spark, conf)})
+        audit.append_status(spark, log, conf.batch_id, JOB_NAME, audit.RUNNING, dates)
+        started = True
         load_eod_trades(spark, conf, dates)
         load_eod_quotes(spark, conf, dates)
-        analyze(spark, conf, dates)
+        enriched = analyze(spark, conf, dates)
     except Exception:
-        audit.append_status(spark, log, conf.batch_id, JOB_NAME, audit.FAILED, dates)
+        # Without any date known the failure is filed under the day of the run.
+        known = dates if started or dates else [dt.datetime.now(dt.timezone.utc).date()]
+        audit.append_status(spark, log, conf.batch_id, JOB_NAME, audit.FAILED, known)
         raise
     audit.append_status(spark, log, conf.batch_id, JOB_NAME, audit.SUCCESS, dates)
-    return _read(spark, conf.table("enriched"), ENRICHED).where(_on(dates))
+    return _read(spark, conf.table("enriched"), ENRICHED).where(_on(enriched))

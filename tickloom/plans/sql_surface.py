@@ -11,6 +11,7 @@ from tickloom.operators.enrich import carried_trades
 from tickloom.operators.moving import moving_average
 from tickloom.sources.tables import STAGING_NAMES, register_views
 
+# The columns of the trade views.
 TRADE_COLUMNS = (
     "trade_dt", "stock_symbol", "stock_exchange", "latest_trade", "event_seq_nb", "trade_pr",
 )

@@ -21,15 +21,26 @@ EVENTS_SCHEMA = (
 )
 
 
-def base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base(
+    spark: SparkSession, sf_dir: str, hourly: bool = False, weekdays: bool = False
+) -> DataFrame:
+    """One row per event. No two events share a time and none of the days is without one.
+
+    ``hourly`` cuts event times to the hour, so that many share one; ``weekdays`` puts
+    the events of a weekend under its Friday, so that the calendar has gaps.
+    """
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     event_id = F.col("event_id")
+    day = F.to_date("ts")
+    if weekdays:
+        day = F.date_sub(day, F.greatest(F.weekday("ts") - 4, F.lit(0)))
+    hour = F.expr("make_timestamp_ntz(year(ts), month(ts), day(ts), hour(ts), 0, 0)")
     return events.select(
-        F.to_date("ts").alias("trade_dt"),
+        day.alias("trade_dt"),
         F.when(F.col("event_type") == "purchase", "T").otherwise("Q").alias("rec_type"),
         F.concat(F.lit("S"), (F.col("user_id") % 20).cast("string")).alias("symbol"),
         F.when(event_id % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
-        F.col("ts").alias("event_tm"),
+        (hour if hourly else F.col("ts")).alias("event_tm"),
         (event_id % 2_000_000_000).cast("int").alias("event_seq_nb"),
         (F.col("ts") + F.expr("INTERVAL 5 MINUTES")).alias("arrival_tm"),
         F.col("value").cast("float").alias("price"),
@@ -41,9 +52,9 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, **form: bool) -> DataFrame:
     """The thirteen event columns, times without zone."""
-    return as_events(base(spark, sf_dir))
+    return as_events(base(spark, sf_dir, **form))
 
 
 def as_events(rows: DataFrame) -> DataFrame:
@@ -59,28 +70,32 @@ def as_events(rows: DataFrame) -> DataFrame:
     )
 
 
-def batched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batched_events(spark: SparkSession, sf_dir: str, **form: bool) -> DataFrame:
     """Events that share correction keys: one arrival per day, one sequence per user."""
-    rows = base(spark, sf_dir)
+    rows = base(spark, sf_dir, **form)
     day_end = F.date_add("trade_dt", 1).cast("timestamp_ntz")
     user = (F.col("user_id") % 2_000_000_000).cast("int")
     return as_events(rows.withColumns({"arrival_tm": day_end, "event_seq_nb": user}))
 
 
-def resent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event, and a later copy with another price of each third one."""
-    rows = base(spark, sf_dir)
-    again = rows.where(F.col("event_id") % 3 == 0).withColumns(
+def resent(rows: DataFrame) -> DataFrame:
+    """Later copies of each third event, with another price."""
+    return rows.where(F.col("event_id") % 3 == 0).withColumns(
         {
             "arrival_tm": F.col("arrival_tm") + F.expr("INTERVAL 1 HOUR"),
             "price": (F.col("value") + 1).cast("float"),
         }
     )
-    return as_events(rows.unionByName(again))
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir).where(F.col("rec_type") == "T")
+def resent_events(spark: SparkSession, sf_dir: str, **form: bool) -> DataFrame:
+    """Every event, and a later copy with another price of each third one."""
+    rows = base(spark, sf_dir, **form)
+    return as_events(rows.unionByName(resent(rows)))
+
+
+def trades(spark: SparkSession, sf_dir: str, **form: bool) -> DataFrame:
+    rows = base(spark, sf_dir, **form).where(F.col("rec_type") == "T")
     return rows.select(
         "trade_dt", "rec_type",
         F.col("symbol").alias("stock_symbol"),
@@ -91,8 +106,8 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = base(spark, sf_dir).where(F.col("rec_type") == "Q")
+def quotes(spark: SparkSession, sf_dir: str, **form: bool) -> DataFrame:
+    rows = base(spark, sf_dir, **form).where(F.col("rec_type") == "Q")
     return rows.select(
         "trade_dt", "rec_type",
         F.col("symbol").alias("stock_symbol"),

@@ -77,8 +77,23 @@ faulty AS (
   FROM base)"""
 
 
-def _with(*parts: str) -> str:
-    return "WITH" + ",".join([BASE, *parts])
+# The same events with times cut to the hour, and with weekends under their Friday.
+HOURLY = BASE.replace("ts AS event_tm", "date_trunc('hour', ts) AS event_tm")
+WEEKDAYS = BASE.replace(
+    "CAST(ts AS DATE) AS trade_dt",
+    "CAST(ts AS DATE) - greatest(CAST(isodow(ts) AS INTEGER) - 5, 0) AS trade_dt",
+)
+
+# Of trades at one instant the quote sees the one with the highest sequence number.
+LAST_AT = """
+lastat AS (
+  SELECT * FROM ma QUALIFY row_number() OVER (
+    PARTITION BY trade_dt, stock_symbol, stock_exchange, latest_trade
+    ORDER BY event_seq_nb DESC) = 1)"""
+
+
+def _with(*parts: str, base: str = BASE) -> str:
+    return "WITH" + ",".join([base, *parts])
 
 
 def _ma(minutes: int = 180) -> str:
@@ -165,13 +180,13 @@ resent AS (
   FROM base WHERE rec_type = 'T' AND event_id % 3 = 0)"""
 
 
-def _asof(operator: str) -> str:
-    return _with(_ma()) + f"""
+def _asof(operator: str, base: str = BASE) -> str:
+    return _with(_ma(), LAST_AT, base=base) + f"""
 SELECT {QUOTE_ROW},
        CASE WHEN t.trade_dt >= q.trade_dt - 1 THEN t.trade_pr END AS last_trade_price,
        CASE WHEN t.trade_dt >= q.trade_dt - 1 THEN round(t.mov_avg_pr, 6) END
          AS last_mov_avg_price
-FROM qu q ASOF LEFT JOIN ma t
+FROM qu q ASOF LEFT JOIN lastat t
   ON q.stock_symbol = t.stock_symbol AND q.stock_exchange = t.stock_exchange
   AND q.latest_quote {operator} t.latest_trade"""
 
@@ -194,7 +209,7 @@ SELECT {quote},
        s.trade_pr AS close_pr, q.bid_pr - s.trade_pr AS bid_move,
        q.ask_pr - s.trade_pr AS ask_move
 FROM qu q
-ASOF LEFT JOIN ma t
+ASOF LEFT JOIN lastat t
   ON q.stock_symbol = t.stock_symbol AND q.stock_exchange = t.stock_exchange
   AND q.latest_quote >= t.latest_trade
 LEFT JOIN seeds s
@@ -246,13 +261,32 @@ SELECT *, CAST(dense_rank() OVER (
 FROM tr"""
 
 
+AS_WRITTEN = """
+SELECT g.trade_dt, g.rec_type, g.symbol, g.arrival_tm, g.event_seq_nb, g.latest_tm,
+       count(*) AS matched_rows, min(d.trade_pr) AS min_pr, max(d.trade_pr) AS max_pr
+FROM (SELECT trade_dt, rec_type, symbol, arrival_tm, event_seq_nb, max(event_tm) AS latest_tm
+      FROM resent GROUP BY ALL) g
+JOIN resent d ON d.event_tm = g.latest_tm
+GROUP BY ALL"""
+
+# The columns of the trade views.
+TRADE_VIEW = "trade_dt, stock_symbol, stock_exchange, latest_trade, event_seq_nb, trade_pr"
+
+
 def all_oracles() -> dict[str, str]:
     eod = " FROM corrected WHERE event_tm = best AND rec_type = "
     renamed = "trade_dt, rec_type, symbol AS stock_symbol, exchange AS stock_exchange, event_tm AS "
-    enriched = _with(_ma(), SEEDS) + ENRICHED
-    pipeline = (
-        "WITH" + ",".join([BASE.split(",\nev AS")[0], FEEDS, PARSED_ONLY, _ma(), SEEDS]) + ENRICHED
+    enriched = _with(_ma(), LAST_AT, SEEDS) + ENRICHED
+    landed = [FEEDS, PARSED_ONLY, _ma(), LAST_AT, SEEDS]
+    first = BASE.split(",\nev AS")[0]
+    pipeline = "WITH" + ",".join([first, *landed]) + ENRICHED
+    # Where an event was sent again its later price counts; the copies arrive later.
+    again = first.replace(
+        "CAST(CAST(value AS FLOAT) AS DOUBLE) AS price",
+        "CASE WHEN event_id % 3 = 0 AND day(ts) <= 10 THEN CAST(CAST(value + 1 AS FLOAT) AS DOUBLE)"
+        " ELSE CAST(CAST(value AS FLOAT) AS DOUBLE) END AS price",
     )
+    two_batches = "WITH" + ",".join([again, *landed]) + ENRICHED
     averaged = _with(_ma()) + f" SELECT {AVERAGED} FROM ma"
     trades = f"SELECT {TRADE_EVENT} FROM ev WHERE rec_type = 'T'"
     quotes = f"SELECT {QUOTE_EVENT} FROM ev WHERE rec_type = 'Q'"
@@ -287,14 +321,7 @@ def all_oracles() -> dict[str, str]:
         + f" SELECT {renamed}latest_trade, event_seq_nb, arrival_tm, trade_pr FROM resent"
         " QUALIFY row_number() OVER (PARTITION BY trade_dt, rec_type, symbol, exchange,"
         " event_tm, event_seq_nb ORDER BY arrival_tm DESC) = 1",
-        "eod_as_written": _with(RESENT)
-        + """
-SELECT g.trade_dt, g.rec_type, g.symbol, g.arrival_tm, g.event_seq_nb, g.latest_tm,
-       count(*) AS matched_rows, min(d.trade_pr) AS min_pr, max(d.trade_pr) AS max_pr
-FROM (SELECT trade_dt, rec_type, symbol, arrival_tm, event_seq_nb, max(event_tm) AS latest_tm
-      FROM resent GROUP BY ALL) g
-JOIN resent d ON d.event_tm = g.latest_tm
-GROUP BY ALL""",
+        "eod_as_written": _with(RESENT) + AS_WRITTEN,
         "sorted_trades": _with()
         + " SELECT * FROM tr ORDER BY trade_dt, stock_symbol, event_seq_nb",
         "latest_n_trades": _with()
@@ -303,7 +330,7 @@ GROUP BY ALL""",
         + " SELECT * FROM tr ORDER BY trade_dt, stock_symbol, latest_trade, event_seq_nb LIMIT 10",
         "moving_average_180m": averaged,
         "moving_average_30m": _with(_ma(30)) + f" SELECT {AVERAGED} FROM ma",
-        "moving_average_split": averaged,
+        "moving_average_split": _with(_ma(), base=HOURLY) + f" SELECT {AVERAGED} FROM ma",
         "sql_moving_average": _with(_ma())
         + " SELECT stock_symbol, stock_exchange, latest_trade, event_seq_nb, trade_pr,"
         " round(mov_avg_pr, 6) AS mov_avg_pr FROM ma",
@@ -319,7 +346,7 @@ SELECT *, last_value(trade_pr) OVER (
          RANGE BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_trade_pr
 FROM tr""",
         "dense_rank_latest": _with() + DAY_RANK,
-        "dense_rank_split": _with() + DAY_RANK,
+        "dense_rank_split": _with(base=HOURLY) + DAY_RANK,
         "date_functions": _with()
         + """
 SELECT event_seq_nb, CAST(latest_trade AS DATE) AS trade_day,
@@ -340,8 +367,8 @@ FROM tr""",
         "forward_fill": _with(_ma(), SEEDS, TIMELINE) + FILL,
         "asof_last_trade": _asof(">="),
         "asof_last_trade_strict": _asof(">"),
-        "asof_bucketed": _asof(">="),
-        "asof_by_instant": _asof(">="),
+        "asof_bucketed": _asof(">=", HOURLY),
+        "asof_by_instant": _asof(">", HOURLY),
         "run_audit": _with(FEEDS)
         + """
 SELECT trade_dt, exchange, "partition", _reason AS reason, count(*) AS row_count,
@@ -349,11 +376,44 @@ SELECT trade_dt, exchange, "partition", _reason AS reason, count(*) AS row_count
 FROM parsed GROUP BY ALL""",
         "latest_status": _with()
         + """
-SELECT 'job-' || CAST(user_id AS VARCHAR) AS job_name, trade_dt AS trade_date,
-       event_tm AS updated_tm,
-       CASE WHEN rec_type = 'T' THEN 'failed' ELSE 'success' END AS status,
-       CAST(event_id AS VARCHAR) AS job_id
-FROM base
-QUALIFY row_number() OVER (PARTITION BY user_id, trade_dt ORDER BY event_tm DESC) = 1""",
+SELECT exchange AS job_name, trade_dt AS trade_date, TIMESTAMP '2024-07-01 01:00:00' AS updated_tm,
+       CASE WHEN n % 3 = 0 THEN 'failed' ELSE 'success' END AS status,
+       exchange || CASE WHEN n % 3 = 0 THEN '-failed' ELSE '-success' END AS job_id
+FROM (SELECT exchange, trade_dt, count(*) FILTER (rec_type = 'T') AS n FROM base GROUP BY ALL)""",
+        "job_status": _with()
+        + """
+SELECT DISTINCT 'NYSE-success' AS job_id, TIMESTAMP '2024-07-01 01:00:00' AS updated_tm,
+       'success' AS status
+FROM (SELECT trade_dt, count(*) FILTER (rec_type = 'T') AS n FROM base
+      WHERE exchange = 'NYSE' GROUP BY ALL)
+WHERE n % 3 <> 0""",
+        "flagship_tied": _with(_ma(), LAST_AT, SEEDS, base=HOURLY) + ENRICHED,
+        "forward_fill_tied": _with(_ma(), SEEDS, TIMELINE, base=HOURLY) + FILL,
+        "last_value_range_tied": _with(_ma(), LAST_AT, base=HOURLY)
+        + f"""
+SELECT {AVERAGED}, last_value(trade_pr) OVER (
+         PARTITION BY trade_dt, stock_symbol, latest_trade ORDER BY event_seq_nb
+         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_trade_pr
+FROM ma""",
+        "eod_trades_tied": _with(BATCHED, base=HOURLY)
+        + f" SELECT {renamed}latest_trade, event_seq_nb, arrival_tm, trade_pr{eod}'T'",
+        "eod_quotes_tied": _with(BATCHED, base=HOURLY)
+        + f" SELECT {renamed}latest_quote, event_seq_nb, arrival_tm, bid_pr, bid_size,"
+        f" ask_pr, ask_size{eod}'Q'",
+        "eod_as_written_tied": _with(RESENT, base=HOURLY) + AS_WRITTEN,
+        "prior_close_ranked_tied": _with(base=HOURLY)
+        + " SELECT * FROM tr QUALIFY dense_rank() OVER (PARTITION BY trade_dt, stock_symbol,"
+        " stock_exchange ORDER BY latest_trade DESC) = 1",
+        "prior_close_weekdays": _with(_ma(), SEEDS, base=WEEKDAYS) + TRADING_CLOSE,
+        "prior_close_calendar_weekdays": _with(_ma(), SEEDS, base=WEEKDAYS) + " " + PRIOR_CLOSE,
+        "pipeline_two_batches": two_batches,
+        "view_tmp_trade_moving_avg": _with() + f" SELECT {TRADE_VIEW} FROM tr",
+        "view_tmp_last_trade": _with() + f" SELECT {TRADE_VIEW} FROM tr",
+        "view_prev_temp_last_trade": _with(_ma(), SEEDS)
+        + f" SELECT {TRADE_VIEW}, round(mov_avg_pr, 6) AS last_mov_avg_pr FROM seeds",
+        "view_quotes": _with() + " SELECT * FROM qu",
+        "view_quote_union": _with(_ma(), "seeds AS (SELECT * FROM ma WHERE false)", TIMELINE)
+        + " SELECT * FROM timeline",
+        "view_quote_update": _asof(">="),
         "pipeline_end_to_end": pipeline,
     }

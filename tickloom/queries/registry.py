@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from tickloom.plans import audit
 from tickloom.plans.pipeline import PipelineConfig, run_pipeline
 from tickloom.plans.sql_surface import register_staging
 from tickloom.queries import feed
-from tickloom.schema import EVENT
+from tickloom.schema import ENRICHED, EVENT
 from tickloom.sources import feeds, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,8 +44,7 @@ def _json_glob(spark: SparkSession, rows: DataFrame, name: str) -> str:
     return feed.write_lines(feed.json_lines(rows), tables.scratch_path(spark, f"{name}-json"))
 
 
-def _feed_globs(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
-    rows = feed.base(spark, sf_dir)
+def _feed_globs(spark: SparkSession, rows: DataFrame, name: str) -> tuple[str, str]:
     nyse = rows.where(F.col("exchange") == "NYSE")
     nasdaq = rows.where(F.col("exchange") == "NASDAQ")
     return _csv_glob(spark, nyse, name), _json_glob(spark, nasdaq, name)
@@ -61,7 +61,7 @@ def ingest_json(spark, sf_dir):
 
 
 def union_feeds(spark, sf_dir):
-    csv, json = _feed_globs(spark, sf_dir, "union_feeds")
+    csv, json = _feed_globs(spark, feed.base(spark, sf_dir), "union_feeds")
     return feeds.accepted(feeds.ingest(spark, [csv], [json]))
 
 
@@ -162,6 +162,19 @@ def eod_as_written(spark, sf_dir):
     return correct.time_only_matches(correct.project_trades(rows), "trade_pr")
 
 
+def eod_trades_tied(spark, sf_dir):
+    return correct.load_trades(feed.batched_events(spark, sf_dir, hourly=True))
+
+
+def eod_quotes_tied(spark, sf_dir):
+    return correct.load_quotes(feed.batched_events(spark, sf_dir, hourly=True))
+
+
+def eod_as_written_tied(spark, sf_dir):
+    rows = feed.resent_events(spark, sf_dir, hourly=True).where(F.col("rec_type") == "T")
+    return correct.time_only_matches(correct.project_trades(rows), "trade_pr")
+
+
 def sorted_trades(spark, sf_dir):
     return order.sort_rows(feed.trades(spark, sf_dir))
 
@@ -184,7 +197,8 @@ def moving_average_30m(spark, sf_dir):
 
 
 def moving_average_split(spark, sf_dir):
-    return moving.moving_average(feed.trades(spark, sf_dir), 180, hot_rows=0)
+    """Under ties: many trades share an instant."""
+    return moving.moving_average(feed.trades(spark, sf_dir, hourly=True), 180)
 
 
 def sql_moving_average(spark, sf_dir):
@@ -206,8 +220,14 @@ def sql_last_trade(spark, sf_dir):
 
 
 def last_value_range(spark, sf_dir):
-    averaged = moving.moving_average(feed.trades(spark, sf_dir))
-    return moving.last_value_range(averaged, "mov_avg_pr", out="last_mov_avg_pr")
+    return moving.moving_average(
+        feed.trades(spark, sf_dir), last={"last_mov_avg_pr": "mov_avg_pr"}
+    )
+
+
+def last_value_range_tied(spark, sf_dir):
+    trades = feed.trades(spark, sf_dir, hourly=True)
+    return moving.moving_average(trades, last={"last_trade_pr": "trade_pr"})
 
 
 def last_value_unbounded(spark, sf_dir):
@@ -219,7 +239,8 @@ def dense_rank_latest(spark, sf_dir):
 
 
 def dense_rank_split(spark, sf_dir):
-    return close.dense_rank_latest(feed.trades(spark, sf_dir), hot_rows=0)
+    """Under ties: many trades share an instant."""
+    return close.dense_rank_latest(feed.trades(spark, sf_dir, hourly=True))
 
 
 def date_functions(spark, sf_dir):
@@ -242,6 +263,19 @@ def prior_close_ranked(spark, sf_dir):
     return close.latest_ranked(feed.trades(spark, sf_dir))
 
 
+def prior_close_ranked_tied(spark, sf_dir):
+    return close.latest_ranked(feed.trades(spark, sf_dir, hourly=True))
+
+
+def prior_close_weekdays(spark, sf_dir):
+    trades = feed.trades(spark, sf_dir, weekdays=True)
+    return close.prior_day_close(trades, "trading", feed.quotes(spark, sf_dir, weekdays=True))
+
+
+def prior_close_calendar_weekdays(spark, sf_dir):
+    return close.prior_day_close(feed.trades(spark, sf_dir, weekdays=True))
+
+
 def prior_close_trading_day(spark, sf_dir):
     return close.prior_day_close(
         feed.trades(spark, sf_dir), "trading", feed.quotes(spark, sf_dir)
@@ -256,62 +290,116 @@ def price_movement(spark, sf_dir):
     return close.price_movement(feed.quotes(spark, sf_dir), prior_close(spark, sf_dir))
 
 
-def _averaged(spark, sf_dir):
-    return tables.staged(moving.moving_average(feed.trades(spark, sf_dir)), "averaged")
+def _sides(spark, sf_dir, **form):
+    """Averaged trades, quotes and carried-in trades."""
+    averaged = moving.moving_average(feed.trades(spark, sf_dir, **form))
+    quotes = feed.quotes(spark, sf_dir, **form)
+    return averaged, quotes, enrich.carried_trades(averaged, quotes)
 
 
 def merged_timeline(spark, sf_dir):
-    averaged, quotes = _averaged(spark, sf_dir), feed.quotes(spark, sf_dir)
-    return asof.merged_timeline(averaged, quotes, enrich.carried_trades(averaged, quotes))
+    return asof.merged_timeline(*_sides(spark, sf_dir))
 
 
 def forward_fill(spark, sf_dir):
-    return asof.forward_fill(merged_timeline(spark, sf_dir))
+    return asof.forward_fill(asof.merged_timeline(*_sides(spark, sf_dir)))
 
 
-def _asof(spark, sf_dir, **options):
-    averaged, quotes = _averaged(spark, sf_dir), feed.quotes(spark, sf_dir)
-    seeds = enrich.carried_trades(averaged, quotes)
-    return asof.asof_last_trade(averaged, quotes, seeds, **options)
+def forward_fill_tied(spark, sf_dir):
+    return asof.forward_fill(asof.merged_timeline(*_sides(spark, sf_dir, hourly=True)))
 
 
 def asof_last_trade(spark, sf_dir):
-    return _asof(spark, sf_dir)
+    return asof.asof_last_trade(*_sides(spark, sf_dir))
 
 
 def asof_last_trade_strict(spark, sf_dir):
-    return _asof(spark, sf_dir, inclusive=False)
+    return asof.asof_last_trade(*_sides(spark, sf_dir), inclusive=False)
 
 
 def asof_bucketed(spark, sf_dir):
-    return _asof(spark, sf_dir, hot_rows=4)
+    """Under ties: quotes share an instant with trades."""
+    return asof.asof_last_trade(*_sides(spark, sf_dir, hourly=True))
 
 
 def asof_by_instant(spark, sf_dir):
-    return _asof(spark, sf_dir, hot_rows=0)
+    """Under ties, strict: a quote does not see the trades of its own instant."""
+    return asof.asof_last_trade(*_sides(spark, sf_dir, hourly=True), inclusive=False)
 
 
 def flagship_enriched_quotes(spark, sf_dir):
     return enrich.enrich_quotes(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir))
 
 
-def latest_status(spark, sf_dir):
-    log = feed.base(spark, sf_dir).select(
-        F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("job_name"),
-        F.col("trade_dt").alias("trade_date"),
-        F.col("event_tm").alias("updated_tm"),
-        F.when(F.col("rec_type") == "T", "failed").otherwise("success").alias("status"),
-        F.col("event_id").cast("string").alias("job_id"),
+def flagship_tied(spark, sf_dir):
+    trades, quotes = feed.trades(spark, sf_dir, hourly=True), feed.quotes(spark, sf_dir, hourly=True)
+    return enrich.enrich_quotes(trades, quotes)
+
+
+def _view(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        register_staging(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir), [name])
+        return spark.sql(f"SELECT * FROM {name}")
+
+    query.__name__ = f"view_{name}"
+    return query
+
+
+def _status_log(spark, sf_dir, name):
+    """A job per exchange: running on all its dates, then failed where a day's trades are few."""
+    rows = feed.base(spark, sf_dir).groupBy("exchange", "trade_dt").agg(
+        F.sum(F.when(F.col("rec_type") == "T", 1).otherwise(0)).alias("n")
     )
-    return audit.latest_status(log)
+    root = tables.scratch_path(spark, name)
+    days: dict[tuple[str, bool], list[dt.date]] = {}
+    for r in rows.collect():  # one row per exchange and calendar day
+        days.setdefault((r["exchange"], r["n"] % 3 == 0), []).append(r["trade_dt"])
+    first = dt.datetime(2024, 7, 1, tzinfo=dt.timezone.utc)
+    for (job, failed), dates in days.items():
+        end = audit.FAILED if failed else audit.SUCCESS
+        for hours, status in enumerate((audit.RUNNING, end)):
+            at = first + dt.timedelta(hours=hours)
+            audit.append_status(spark, root, f"{job}-{end}", job, status, dates, at)
+    return spark.read.schema(audit.STATUS_FIELDS).parquet(root)
+
+
+def job_status(spark, sf_dir):
+    log = _status_log(spark, sf_dir, "job_status")
+    return audit.job_status(log, "NYSE-success")
+
+
+def latest_status(spark, sf_dir):
+    return audit.latest_status(_status_log(spark, sf_dir, "latest_status"))
 
 
 def pipeline_end_to_end(spark, sf_dir):
-    csv, json = _feed_globs(spark, sf_dir, "pipeline")
+    csv, json = _feed_globs(spark, feed.base(spark, sf_dir), "pipeline")
     root = tables.scratch_path(spark, "pipeline-out")
     return run_pipeline(spark, PipelineConfig(root, [csv], [json], batch_id="batch-1"))
 
 
+def pipeline_two_batches(spark, sf_dir):
+    """All events, then later copies with other prices of each third one in the first third of a month."""
+    rows = feed.base(spark, sf_dir)
+    root = tables.scratch_path(spark, "two-batches-out")
+    early = feed.resent(rows).where(F.dayofmonth("trade_dt") <= 10)
+    for batch, part in enumerate((rows, early)):
+        csv, json = _feed_globs(spark, part, f"two-batches-{batch}")
+        conf = PipelineConfig(
+            root, [csv], [json], batch_id=f"batch-{batch}", preset="latest_arrival"
+        )
+        run_pipeline(spark, conf)
+    return spark.read.schema(ENRICHED).parquet(conf.table("enriched")).select(*ENRICHED.names)
+
+
+VIEWS = tuple(
+    _view(name)
+    for name in (
+        "tmp_trade_moving_avg", "tmp_last_trade", "prev_temp_last_trade", "quotes", "quote_union",
+        "quote_update",
+    )
+)
+
 _ALL: Sequence[Query] = (
     flagship_enriched_quotes, ingest_csv, ingest_json, union_feeds, quarantine_counts,
     scan_partition_trades, scan_partition_quotes, scan_trade_date, symbol_filter,
@@ -323,7 +411,9 @@ _ALL: Sequence[Query] = (
     dense_rank_split, date_functions, prior_close, prior_close_ranked,
     prior_close_trading_day, prior_close_join, price_movement, merged_timeline, forward_fill,
     asof_last_trade, asof_last_trade_strict, asof_bucketed, asof_by_instant, run_audit, latest_status,
-    pipeline_end_to_end,
+    pipeline_end_to_end, flagship_tied, forward_fill_tied, last_value_range_tied, eod_trades_tied,
+    eod_quotes_tied, eod_as_written_tied, prior_close_ranked_tied, prior_close_weekdays,
+    prior_close_calendar_weekdays, job_status, pipeline_two_batches, *VIEWS,
 )
 
 

@@ -8,8 +8,6 @@ loaded again without touching the others.
 from __future__ import annotations
 
 import datetime as dt
-import functools
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -84,21 +82,14 @@ def drop_staging(spark: SparkSession, names: Sequence[str] = STAGING_NAMES) -> N
         spark.sql(f"DROP TABLE IF EXISTS `{name}`")
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tickloom-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the session names in ``spark.checkpoint.dir``.
+    """A new folder below the shared folder of the session.
 
-    Only a local session may leave it unset; it gets a temporary folder.
+    That is ``spark.checkpoint.dir``, or else what ``setCheckpointDir`` was given.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_scratch()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
