@@ -33,3 +33,25 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).limit(1).count() == 1
+
+
+def test_the_feed_with_ties_and_gaps_can_tell_the_rules_apart():
+    """Strict and inclusive, ties kept and dropped, calendar and trading days give other rows."""
+    con = connect("/root/testdata/sf0.01")
+    rows = lambda name: set(con.execute(ORACLES[name]).fetchall())
+    assert len(rows("asof_bucketed") ^ rows("asof_by_instant")) > 100
+    assert len(rows("prior_close_weekdays") ^ rows("prior_close_calendar_weekdays")) > 100
+    for name, columns in (
+        ("prior_close_ranked_tied", "trade_dt, stock_symbol, stock_exchange"),
+        ("eod_trades_tied", "trade_dt, stock_symbol, arrival_tm, event_seq_nb"),
+        ("eod_quotes_tied", "trade_dt, stock_symbol, arrival_tm, event_seq_nb"),
+        ("dense_rank_split", "trade_dt, stock_symbol, stock_exchange, time_rank"),
+    ):
+        kept, groups = con.execute(
+            f"SELECT count(*), count(DISTINCT ({columns})) FROM ({ORACLES[name]})"
+        ).fetchall()[0]
+        assert kept > groups
+    most = con.execute(f"SELECT max(matched_rows) FROM ({ORACLES['eod_as_written_tied']})")
+    assert most.fetchall()[0][0] > 3
+    lone = con.execute(f"SELECT max(matched_rows) FROM ({ORACLES['eod_as_written']})")
+    assert lone.fetchall()[0][0] <= 2
