@@ -33,7 +33,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -107,13 +106,15 @@ def least_heavy(rule: Rule, x: int) -> int:
     return rule.partners(x + 1)[0]
 
 
-@cache
 def _left_out(n: int, d: int) -> np.ndarray:
     return np.array(list(combinations(range(n), d)), np.int64).reshape(math.comb(n, d), d)
 
 
-def light_keys(rule: Rule, hashes: np.ndarray) -> np.ndarray:
-    """One key for each subset that a partner of some size would share."""
+def light_keys(rule: Rule, hashes: np.ndarray, left_out: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
+    """One key for each subset that a partner of some size would share.
+
+    ``left_out`` keeps the places that subsets of a set of some size leave out.
+    """
     n, spread = len(hashes), mix(hashes ^ np.uint64(0x5BD1E995))
     total = spread.sum(dtype=np.uint64)
     out = []
@@ -121,7 +122,9 @@ def light_keys(rule: Rule, hashes: np.ndarray) -> np.ndarray:
         missing = n - rule.overlap(n, m)
         if missing < 0:
             continue
-        sums = total - spread[_left_out(n, missing)].sum(axis=1, dtype=np.uint64)
+        if (n, missing) not in left_out:
+            left_out[n, missing] = _left_out(n, missing)
+        sums = total - spread[left_out[n, missing]].sum(axis=1, dtype=np.uint64)
         out.append(mix(sums + np.uint64(min(n, m) << 32 | max(n, m))))
     return np.concatenate(out) if out else hashes[:0]
 
@@ -194,14 +197,14 @@ def entries(docs: DataFrame, rule: Rule, x: int, id_col: str, text_col: str) ->
     low = least_heavy(rule, x)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(rule.words)
+        shingler, left_out = Shingler(rule.words), {}
         for batch in batches:
             all_ids = np.asarray(batch.column(0).cast(pa.int64()))
             for at, ends, hashes in shingler.sets(batch.column(1)):
                 sizes = np.diff(ends)
                 ids = all_ids[at : at + len(sizes)]
                 for i in np.flatnonzero((sizes > 0) & (sizes <= x)):
-                    keys = light_keys(rule, hashes[ends[i] : ends[i + 1]])
+                    keys = light_keys(rule, hashes[ends[i] : ends[i + 1]], left_out)
                     yield _entry_batch(keys, np.full(len(keys), ids[i]), schema)
                 heavy = sizes >= max(low, 1)
                 if heavy.any():

@@ -221,13 +221,14 @@ def identify(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame
     Other columns are kept; columns named lang_pred or score are replaced.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(net)
+    # Plain values: a task has no module to look the class up in.
+    model = spark.sparkContext.broadcast((net.languages, net.table, net.turn, net.out, net.bias))
     rows = docs.drop("lang_pred", "score")
     fields = [f for f in rows.schema.fields]
     schema = type(rows.schema)([*fields]).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = model.value
+        net = Network(*model.value)
         names = np.array([*net.languages, UNKNOWN], dtype=object)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
