@@ -13,8 +13,8 @@ from tickloom.llm import jaccard, langid, lines, packing, pii
 from tickloom.llm.queries import PII_KEY, table, tokenizer_files
 from tickloom.sources.tables import staged
 
-#: Documents whose language is less certain than this go, as do those without a letter.
-LEAST_SCORE = 0.4
+#: Documents whose language is hardly more likely than by chance go, as do those without a letter.
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def small(monkeypatch):
 def test_edge_cases(spark, small):
     words = {"en": "the cat and the dog", "de": "der hund und die katze"}
     rows = [(i, words[lang] + f" {i}", lang, 5) for i in range(40) for lang in words]
-    rows += [(100, None, "en", 5), (101, "", "de", 5), (102, "12 34 !?", "en", 5), (103, (words["en"] + " ") * 6_000, None, 5), (104, "é", None, 5)]
+    rows += [(100, None, "en", 5), (101, "", "de", 5), (102, "12 34 !? ² ½ ৩", "en", 5), (103, (words["en"] + " ") * 6_000, None, 5), (104, "é", None, 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
     got = {(r.doc_id, r.lang): r for r in langid.identify(df, langid.train(df)).collect()}
     assert len(got) == len(rows)

@@ -34,6 +34,7 @@ PAD = 256
 SAMPLE, LANGUAGES, TRAIN_BYTES = 1024, 256, 96
 ROUNDS, BATCH, RATE = 300, 192, 0.02
 UNKNOWN = "und"
+#: Letters and the few numbers that are no decimal digits.
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -189,6 +190,10 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
     return sums / np.maximum(lengths, 1)[:, None]
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def sample(docs: DataFrame, text_col: str, lang_col: str) -> tuple[list[bytes], list[str]]:
     """Segments at hashed places of texts with the smallest hashes, the same number per language."""
     rows = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
@@ -232,7 +237,7 @@ def identify(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame
         names = np.array([*net.languages, UNKNOWN], dtype=object)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            known = np.array([bool(net.languages) and bool(_LETTER.search(t)) for t in texts], bool)
+            known = np.array([bool(net.languages) and has_letter(t) for t in texts], bool)
             p = pooled(net, [t.encode() if k else b"" for t, k in zip(texts, known, strict=True)])
             best = p.argmax(axis=1) if p.shape[1] else np.zeros(len(texts), int)
             score = p.max(axis=1) if p.shape[1] else np.zeros(len(texts))
