@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def brute(rows, is_query, k):
     good = {}
     for i, v in rows:
-        if v is not None and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             good[i] = [math.floor(256 * float(np.float32(x))) for x in v]
     out = []
     for q in filter(is_query, good):
@@ -40,7 +40,7 @@ def test_edge_cases(spark, monkeypatch, block):
     rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(40)]
     rows += [(i, [1.0, 0.5, -0.25, 0.0]) for i in range(40, 60)]  # equal vectors
     rows += [(60, None), (62, [1.0, None, 0.0, 0.0]), (64, [math.nan] * 4), (66, [math.inf, 0.0, 0.0, 0.0])]
-    rows += [(70, [1.0]), (72, [0.5]), (74, []), (75, [])]
+    rows += [(70, [1.0]), (72, [0.5]), (74, []), (75, []), (None, [1.0])]
     df = spark.createDataFrame([(i, v, i) for i, v in rows], "vec_id long, embedding array<float>, uid long")
     for k in (1, 5, 100):
         got = topk.top_k(df, F.col("vec_id") % 2 == 0, k).collect()

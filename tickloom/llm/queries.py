@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import bpe, jaccard, langid, lines, outliers, packing, pii, sharding, topk, urls
+from tickloom.llm.oracle import all_oracles as all_oracles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,7 +111,3 @@ def all_queries() -> dict[str, Query]:
         "op10_quality": op10_quality,
         "pipeline": pipeline,
     }
-
-
-def all_oracles() -> dict[str, str]:
-    return {}

@@ -36,7 +36,7 @@ _SLICE = 128
 def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
     """vec_id and v = floor(scale * x) as array<long>; only vectors with finite components."""
     x = F.col(vector_col)
-    good = x.isNotNull() & ~F.exists(
+    good = F.col(id_col).isNotNull() & x.isNotNull() & ~F.exists(
         x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))
     )
     v = F.transform(x, lambda e: F.floor(e.cast("double") * scale))
@@ -157,10 +157,10 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's k best other vectors.
 
-    Scores are inner products of floor(scale * x); ties go to the smaller id. Vectors
-    that are null or hold a null, NaN or infinite component take no part; vectors of
-    another number of dimensions than the query's are not compared with it. Rows with
-    the same id and vector are one; an empty table or no query gives no rows. Results
+    Scores are inner products of floor(scale * x); ties go to the smaller id. Rows
+    without an id and vectors that are null or hold a null, NaN or infinite component
+    take no part; vectors of another number of dimensions than the query's are not
+    compared with it. Rows with the same id and vector are one; an empty table or no query gives no rows. Results
     are exact while the products fit 53 bits (components below 2 ** 23 at 64
     dimensions). Other columns are ignored.
     """
