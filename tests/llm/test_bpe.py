@@ -47,10 +47,12 @@ def test_query_equals_the_library(spark, library):
 
 def test_edge_cases(spark, library, own, monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK", 50)
-    cache = bpe._Digests(own)
+    monkeypatch.setattr(bpe, "SLICE", 7)
+    digester = bpe.Digester(own)
+    assert digester(EDGES + EDGES) == [expected(library, t) for t in EDGES] * 2
     for text in EDGES:
         assert list(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
-        assert bpe.digest(own, cache, text) == expected(library, text)
+        assert digester([text]) == [expected(library, text)]
     rows = [(1, None, 0), (2, "a b", 0), (2, "a b", 0), (3, "", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")
     got = sorted(tuple(r) for r in bpe.digests(df, PATH).collect())
@@ -71,6 +73,13 @@ def test_streaming_equals_merging_at_once(own):
     assert 8 <= machine.lookahead < 4096
 
 
+def test_many_short_words_at_once(own):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("etaoinshrdlué😀ñ#1") for _ in range(rng.randint(0, 20))).encode() for _ in range(3000)]
+    assert own.transducer.short_words(words) == [list(own.transducer.word(w)) for w in words]
+    assert own.transducer.short_words([]) == []
+
+
 def test_lookahead_of_small_merge_lists():
     size = {0: 1, 1: 1, 2: 2, 3: 3}.__getitem__
     assert bpe.sufficient_lookahead([(0, 1, 2)], size) == 1

@@ -21,13 +21,17 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words up to this many bytes are merged at once and cached; the cache is emptied when full.
+#: Words up to this many bytes are merged together and cached; of the two halves
+#: of the cache, each of up to this many words, the older one goes when the other is full.
 SHORT_WORD = 48
 CACHE_WORDS = 150_000
+#: Words that are looked up together.
+SLICE = 200_000
 #: Characters normalised at a time; cut before white space.
 CHUNK = 1 << 16
 _ID_BITS = 20
@@ -80,11 +84,56 @@ def sufficient_lookahead(rules: list[tuple[int, int, int]], length: Callable[[in
     return best
 
 
+class _PairTable:
+    """Pairs to rank and result, for whole arrays: open addressing with linear probing."""
+
+    NONE = np.int64(1 << 62)
+
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
+        bits = max(4, (4 * len(merges)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.full(1 << bits, self.NONE, np.int64)
+        pairs: dict[int, int] = {}
+        for rank, (a, b) in enumerate(merges):
+            pairs.setdefault(vocab[a] << _ID_BITS | vocab[b], rank << _ID_BITS | vocab[a + b])
+        keys = np.fromiter(pairs.keys(), np.int64, len(pairs))
+        values = np.fromiter(pairs.values(), np.int64, len(pairs))
+        slots = self._slots(keys)
+        while len(keys):
+            # Of those that meet in a free place the first stays, the others go one further.
+            _, first = np.unique(slots, return_index=True)
+            first = first[self.keys[slots[first]] < 0]
+            self.keys[slots[first]], self.values[slots[first]] = keys[first], values[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, values, slots = keys[rest], values[rest], (slots[rest] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """rank << bits | result of each pair, ``NONE`` where there is no merge."""
+        keys = left << _ID_BITS | right
+        slots = self._slots(keys)
+        there = self.keys[slots]
+        out = np.where(there == keys, self.values[slots], self.NONE)
+        open_ = np.nonzero((there != keys) & (there >= 0))
+        while len(open_[0]):
+            slots[open_] = (slots[open_] + 1) & self.mask
+            there = self.keys[slots[open_]]
+            hit = there == keys[open_]
+            out[tuple(i[hit] for i in open_)] = self.values[slots[tuple(i[hit] for i in open_)]]
+            open_ = tuple(i[~hit & (there >= 0)] for i in open_)
+        return out
+
+
 class Transducer:
     """Words (as bytes) to ids."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
         alphabet = byte_alphabet()
+        self.table = _PairTable(vocab, merges)
         self.inner = [vocab[c] for c in alphabet]
         self.last = [vocab[c + suffix] for c in alphabet]
         self.merges: dict[int, int] = {}
@@ -124,6 +173,43 @@ class Transducer:
             ids = out + ids[at:]
         return ids
 
+    def short_words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of many words at once. Words of a length are the rows of a matrix; every round
+        carries out the first merge of each row, so that all rows left are equally long."""
+        out: list[list[int]] = [[] for _ in words]
+        by_length: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            if w:
+                by_length.setdefault(len(w), []).append(i)
+        inner, last = np.array(self.inner), np.array(self.last)
+        for length, own in by_length.items():
+            rows = np.array(own)
+            raw = np.frombuffer(b"".join([words[i] for i in own]), np.uint8).reshape(-1, length)
+            ids = np.concatenate([inner[raw[:, :-1]], last[raw[:, -1:]]], axis=1)
+            ranks = self.table.find(ids[:, :-1], ids[:, 1:])
+            while True:
+                at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), np.int64)
+                best = ranks[np.arange(len(rows)), at] if ranks.shape[1] else np.full(len(rows), _PairTable.NONE)
+                done = best == _PairTable.NONE
+                if done.any():
+                    for i, found in zip(rows[done].tolist(), ids[done].tolist(), strict=True):
+                        out[i] = found
+                    go = ~done
+                    rows, ids, ranks, at, best = rows[go], ids[go], ranks[go], at[go], best[go]
+                if not len(rows):
+                    break
+                line = np.arange(len(rows))
+                ids[line, at] = best & _MASK
+                place = np.arange(ids.shape[1] - 1)
+                ids = np.take_along_axis(ids, place + (place > at[:, None]), axis=1)
+                place = place[:-1]
+                ranks = np.take_along_axis(ranks, place + (place >= at[:, None]), axis=1)
+                for near in (at - 1, at):
+                    inside = (near >= 0) & (near < ranks.shape[1])
+                    i, j = line[inside], near[inside]
+                    ranks[i, j] = self.table.find(ids[i, j], ids[i, j + 1])
+        return out
+
     def word(self, raw: bytes) -> Iterator[int]:
         """Ids of one word. Long words are streamed with a buffer of a few lookaheads."""
         if not raw:
@@ -231,37 +317,75 @@ class Tokenizer:
         return "".join([*map(machine.feed, ids), machine.end()])
 
 
-class _Digests(dict):
-    """word -> (number of ids, ids as text, decoded text) for words in the middle of a text."""
+class _State:
+    """What is kept of a text while it is read."""
+
+    __slots__ = ("n", "ids", "decoded")
+
+    def __init__(self):
+        self.n, self.ids, self.decoded = 0, hashlib.sha256(), hashlib.sha256()
+
+
+class Digester:
+    """Texts to (number of ids, hash of the ids, hash of the decoded text).
+
+    Texts are read in chunks. The words of about ``SLICE`` characters, of one text or
+    of several, are looked up together; those not in the cache are merged together.
+    The cache has word -> (number of ids, ids as text, decoded text).
+    """
 
     def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def made(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), self.tokenizer.decode(ids)
-
-    def __missing__(self, word: str) -> tuple[int, str, str]:
-        raw = word.encode()
-        value = self.made(list(self.tokenizer.transducer.word(raw)))
-        if len(raw) <= SHORT_WORD:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = value
-        return value
-
-
-def digest(tokenizer: Tokenizer, cache: _Digests, text: str) -> tuple[int, str, str]:
-    """Number of ids, hash of the ids, hash of the decoded text; the text is streamed."""
-    n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
-    for part in tokenizer.words(text):
-        found = [cache.made([part])] if isinstance(part, int) else list(map(cache.__getitem__, part))
-        if found:
-            gap = " " if n else ""
-            n += sum([f[0] for f in found])
-            ids.update((gap + " ".join([f[1] for f in found])).encode())
-            decoded.update((gap + " ".join([f[2] for f in found])).encode())
-    return n, ids.hexdigest(), decoded.hexdigest()
+        if tokenizer.decoder:
+            raise ValueError("digests are for files without a decoder")
+        self.tokenizer, self.cache, self.older = tokenizer, {}, {}
+        self.numbers = {i: str(i) for i in tokenizer.tokens}
+
+    def _texts(self, ids: list[int]) -> tuple[str, str]:
+        numbers, tokens = self.numbers, self.tokenizer.tokens
+        return " ".join([numbers[i] for i in ids]), " ".join([tokens[i] for i in ids])
+
+    def __call__(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        states, waiting, size = [], [], 0
+        for text in texts:
+            states.append(_State())
+            for part in self.tokenizer.words(text):
+                waiting.append((states[-1], part))
+                size += 1 if isinstance(part, int) else len(part)
+                if size >= SLICE:
+                    self._flush(waiting)
+                    waiting, size = [], 0
+        self._flush(waiting)
+        return [(s.n, s.ids.hexdigest(), s.decoded.hexdigest()) for s in states]
+
+    def _flush(self, waiting: list[tuple[_State, list[str] | int]]) -> None:
+        if len(self.cache) > CACHE_WORDS:
+            self.cache, self.older = {}, self.cache
+        words: set[str] = set()
+        for _, part in waiting:
+            if not isinstance(part, int):
+                words.update(part)
+        machine, cache, older = self.tokenizer.transducer, self.cache, self.older
+        unknown = words - cache.keys()
+        known = unknown & older.keys()
+        cache.update({w: older[w] for w in known})
+        new = [(w, w.encode()) for w in unknown - known]
+        short = [(w, raw) for w, raw in new if len(raw) <= SHORT_WORD]
+        for (w, _), ids in zip(short, machine.short_words([raw for _, raw in short]), strict=True):
+            cache[w] = self._texts(ids)
+        long = {w: self._texts(list(machine.word(raw))) for w, raw in new if len(raw) > SHORT_WORD}
+        for state, part in waiting:
+            if isinstance(part, int):
+                found = [self._texts([part])]
+            elif long:
+                found = [cache.get(w) or long[w] for w in part]
+            else:
+                found = list(map(cache.__getitem__, part))
+            if found:
+                gap = " " if state.n else ""
+                ids = gap + " ".join([f[0] for f in found])
+                state.n += ids.count(" ") + (not gap)
+                state.ids.update(ids.encode())
+                state.decoded.update((gap + " ".join([f[1] for f in found])).encode())
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,12 +398,9 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(path)
-        if tokenizer.decoder:
-            raise ValueError("digests are for files without a decoder")
-        cache = _Digests(tokenizer)
+        digester = Digester(Tokenizer(path))
         for batch in batches:
-            found = [digest(tokenizer, cache, t.as_py() or "") for t in batch.column(1)]
+            found = digester([t or "" for t in batch.column(1).to_pylist()])
             n, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
