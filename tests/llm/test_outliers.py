@@ -75,7 +75,9 @@ def test_planted_outliers_go_and_the_rest_stays(planted):
 def test_distance_equals_numpy(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, 5)) @ rng.normal(size=(5, 5))
-    df = spark.createDataFrame([("k", *map(float, v)) for v in x], ["_key", *outliers.STATISTICS])
+    df = spark.createDataFrame(
+        [("k", i % outliers.SALTS, *map(float, v)) for i, v in enumerate(x)], ["_key", "_salt", *outliers.STATISTICS]
+    )
     got = np.array([r._d for r in outliers.distances(df, outliers.moments(df)).orderBy("_x0").collect()])
     order = np.argsort(x[:, 0])
     spread = np.cov(x.T, bias=True) + np.diag([v * v for v in outliers.STATISTICS.values()])

@@ -83,10 +83,12 @@ class Rule:
         spare = 6 + k // 12
         return k + 1 + spare, spare
 
-    def subsets(self, n: int, least_level: int = 0) -> int:
+    def subsets(self, n: int) -> int:
+        """Entries of a light set of size n."""
         return sum(math.comb(n, self.overlap(n, m)) for m in self.partners(n) if self.overlap(n, m) <= n)
 
     def lists(self, n: int) -> int:
+        """Entries of a heavy set of size n, of both its levels."""
         firsts = self.levels(n)
         own = self.most(firsts[-2])
         return self.segments(own)[0] + self.segments(self.most(own + 1))[0]

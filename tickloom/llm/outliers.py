@@ -6,9 +6,10 @@ concentration steps: from medians and deviations, repeatedly take the ``SHARE``
 rows nearest to the centre and estimate both anew from them. A row whose
 Mahalanobis distance exceeds a limit is rejected.
 
-A step is two aggregates over the statistics table, merged within tasks, so a
-source with a third of all rows costs no task more than another. Groups are
-never gathered; only their estimates (one row per group) are joined back.
+A step is two aggregates over the statistics table, merged within tasks. Groups are
+never gathered; only their estimates (one row per group) are joined back, on the
+group and one of ``SALTS`` numbers that every row has, so that a source with a third of
+all rows is spread over as many tasks.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ SYMBOLS = r"[#*$%&|<>]"
 #: Share of a group that a concentration step keeps, and how many steps.
 SHARE = 0.75
 STEPS = 3
+SALTS = 64
 #: Groups with fewer good rows are pooled by language, then all together.
 LEAST_ROWS = 100
 #: Medians of chi-squared with as many degrees of freedom as there are statistics, and the quantile
@@ -57,6 +59,12 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) >= 3, windows).otherwise(F.array().cast("array<bigint>"))
 
 
+def with_estimates(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their group's row in ``found``."""
+    every = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(every, ["_key", "_salt"], how)
+
+
 def statistics(docs: DataFrame, id_col: str, text_col: str, group_cols: tuple[str, ...]) -> DataFrame:
     """Counts of every whole text; a null text has none of anything."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -112,7 +120,8 @@ def pooled(rows: DataFrame, group_cols: int) -> DataFrame:
         coarse = fine.where(F.col("_n") < LEAST_ROWS).groupBy("_g0").agg(F.sum("_n").alias("_m"))
         fine = fine.join(coarse, "_g0", "left")
         key = key.when(F.col("_m") >= LEAST_ROWS, F.concat_ws("\x01", F.lit("l"), "_g0"))
-    return rows.join(fine.select(*names, key.otherwise(F.lit("a")).alias("_key")), names)
+    keyed = rows.join(fine.select(*names, key.otherwise(F.lit("a")).alias("_key")), names)
+    return keyed.withColumn("_salt", F.pmod(F.xxhash64("_id", *_X), F.lit(SALTS)).cast("int"))
 
 
 def moments(rows: DataFrame) -> DataFrame:
@@ -152,7 +161,7 @@ def distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         for j in range(i + 1):
             part = part + F.col(f"l{i}{j}") * (F.col(_X[j]) - F.col(f"m{j}"))
         total = total + part * part
-    return rows.join(estimates, "_key", "left").select(*rows.columns, total.alias("_d"))
+    return with_estimates(rows, estimates, "left").select(*rows.columns, total.alias("_d"))
 
 
 def start(rows: DataFrame) -> DataFrame:
@@ -160,7 +169,7 @@ def start(rows: DataFrame) -> DataFrame:
     middle = staged(
         rows.groupBy("_key").agg(*(F.percentile_approx(x, 0.5).alias(f"m{i}") for i, x in enumerate(_X))), "mcd-median"
     )
-    off = rows.join(middle, "_key").groupBy("_key").agg(
+    off = with_estimates(rows, middle).groupBy("_key").agg(
         *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5).alias(f"d{i}") for i, x in enumerate(_X))
     )
     spread = [
@@ -174,7 +183,7 @@ def nearest(rows: DataFrame, estimates: DataFrame, share: float) -> DataFrame:
     """The share of each key's rows that is nearest to its centre."""
     measured = distances(rows, estimates)
     edge = measured.groupBy("_key").agg(F.percentile_approx("_d", share).alias("_edge"))
-    return measured.join(edge, "_key").where(F.col("_d") <= F.col("_edge")).drop("_edge", "_d")
+    return with_estimates(measured, edge).where(F.col("_d") <= F.col("_edge")).drop("_edge", "_d")
 
 
 def scale(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -203,15 +212,15 @@ def quality(
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
     rows = staged(found.select("*", failed.alias("base_failed"), *transformed()), "quality-statistics")
     keyed = staged(pooled(rows, len(group_cols)), "quality-keys")
-    good = keyed.where(~F.col("base_failed")).select("_key", *_X)
+    good = keyed.where(~F.col("base_failed")).select("_key", "_salt", *_X)
     estimates = staged(start(good), "mcd-start")
     for _ in range(STEPS):
         estimates = staged(moments(nearest(good, estimates, SHARE)), "mcd-step")
     factor = scale(good, estimates)
-    central = distances(good, estimates).join(factor, "_key").where(F.col("_d") * F.col("_scale") <= CHI2_MOST)
+    central = with_estimates(distances(good, estimates), factor).where(F.col("_d") * F.col("_scale") <= CHI2_MOST)
     estimates = staged(moments(central), "mcd-final")
     factor = staged(scale(good, estimates), "mcd-scale")
-    measured = distances(keyed, estimates).join(factor, "_key", "left")
+    measured = with_estimates(distances(keyed, estimates), factor, "left")
     distance = F.col("_d") * F.least(F.col("_scale"), F.lit(1.0))
     kept = ~F.col("base_failed") & F.coalesce(distance <= LIMIT, F.lit(True))
     return measured.select(
