@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm import fields
+
 #: Words up to this many bytes are merged together and cached; of the two halves
 #: of the cache, each of up to this many words, the older one goes when the other is full.
 SHORT_WORD = 48
@@ -399,7 +401,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digester = Digester(Tokenizer(path))
-        for batch in batches:
+        for batch in fields.pieces(batches):
             found = digester([t or "" for t in batch.column(1).to_pylist()])
             n, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm import fields
+
 HIDDEN = 8
 SEGMENT = 256
 LANES = 1024
@@ -229,13 +231,12 @@ def identify(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame
     # Plain values: a task has no module to look the class up in.
     model = spark.sparkContext.broadcast((net.languages, net.table, net.turn, net.out, net.bias))
     rows = docs.drop("lang_pred", "score")
-    fields = [f for f in rows.schema.fields]
-    schema = type(rows.schema)([*fields]).add("lang_pred", "string").add("score", "double")
+    schema = type(rows.schema)([*rows.schema.fields]).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(*model.value)
         names = np.array([*net.languages, UNKNOWN], dtype=object)
-        for batch in batches:
+        for batch in fields.pieces(batches):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
             known = np.array([bool(net.languages) and has_letter(t) for t in texts], bool)
             p = pooled(net, [t.encode() if k else b"" for t, k in zip(texts, known, strict=True)])

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm import fields
 from tickloom.llm.ranks import numbered
 
 SWEEPS = 6
@@ -167,7 +168,7 @@ def cut(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = byte_tokenizer(*files)
-        for batch in batches:
+        for batch in fields.pieces(batches):
             rows, starts, lengths, checks, totals, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
                 own = np.append(encode(text.as_py() or ""), end_id).astype("<u4")

@@ -249,7 +249,7 @@ def pseudonymise(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Permutation(key)
-        for batch in batches:
+        for batch in fields.pieces(batches):
             texts, places = [], []
             for t in batch.column(batch.num_columns - 1):
                 old = t.as_py()

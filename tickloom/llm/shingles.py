@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at a time; a longer text is handled alone.
-SLICE = 1 << 21
+SLICE = 1 << 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
