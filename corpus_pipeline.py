@@ -28,8 +28,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the multi-line chunks that an earlier document holds."""
-    return _counted(lines.dedup_lines(docs).select(*docs.columns))
+    """All documents without the runs of lines that an earlier one holds; those of which nothing is left go."""
+    left = lines.dedup_lines(docs, removed_col="_removed")
+    return _counted(left.where(~((F.col("_removed") > 0) & (F.col("text") == ""))).select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,54 +1,48 @@
-"""Line dedup by content-defined chunks, with DataFrame functions only.
+"""Line dedup by windows of two lines at every place, with DataFrame functions only.
 
-A document's lines are cut into chunks where a rolling hash over the hashes of two
-consecutive lines is divisible by ``DIVISOR``. Boundaries depend on the lines around
-them alone, so a passage is cut in the same way wherever it stands. Chunks of
-several lines that occur more than once are found by their hash; their texts are
+A window is two lines with text and the blank lines between them; a document has one
+from each of its lines with text but the last. Every run of two or more equal lines is
+thus made of whole windows wherever it stands, and is found from its first line to its
+last. Windows that occur more than once are found by their hash; their texts are
 then compared byte by byte (grouping by the text), and all but the first, in order
 of document and place, are removed.
 
 Counting and the search for the first one are aggregates that are merged within
-tasks; a chunk that a third of all documents share meets other rows only in joins,
+tasks; a window that a third of all documents share meets other rows only in joins,
 whose partitions Spark can split.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import fields
 
-DIVISOR = 3
-#: Place of a chunk as one number: document id times this plus the first line.
+#: Place of a window as one number: document id times this plus the first line.
 _LINES = 10_000_000_000
 
 
-def rolling(hashes: Column, i: Column) -> Column:
-    """Hash of lines i - 1 and i: the one rotated by a bit, the other added by exclusive or."""
-    before = F.coalesce(F.get(hashes, i - 1), F.lit(0).cast("long"))
-    rotated = F.shiftleft(before, 1).bitwiseOR(F.shiftrightunsigned(before, 63))
-    return rotated.bitwiseXOR(F.get(hashes, i))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the value, which is computed once however often a lambda in the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id, _start, _end (lines, both included) and _hash of every chunk of several lines."""
-    lines = docs.where(F.col(text_col).contains("\n")).select(
-        F.col(id_col).alias("_id"),
-        F.transform(F.split(text_col, "\n", -1), lambda line: F.xxhash64(line)).alias("_h"),
-    )
-    last = F.size("_h") - 1
-    ends = F.filter(
-        F.sequence(F.lit(0), last),
-        lambda i: (i == last) | (F.pmod(rolling(F.col("_h"), i), F.lit(DIVISOR)) == 0),
-    )
-    spans = F.transform(
-        "_ends", lambda e, k: F.struct((F.coalesce(F.get("_ends", k - 1), F.lit(-1)) + 1).alias("s"), e.alias("e"))
+def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_id, _start, _end (lines, both included) and _hash of every window."""
+    hashes = F.transform(F.split(text_col, "\n", -1), lambda line: F.when(line.rlike(r"[^\s]"), F.xxhash64(line)))
+    filled = F.filter(
+        F.transform(hashes, lambda h, i: F.struct(i.alias("i"), h.alias("h"))), lambda c: c["h"].isNotNull()
     )
-    cut = lines.select("_id", "_h", ends.alias("_ends")).select("_id", "_h", F.explode(spans).alias("c"))
-    return cut.where(F.col("c.e") > F.col("c.s")).select(
-        "_id", F.col("c.s").alias("_start"), F.col("c.e").alias("_end"),
-        F.xxhash64(F.slice("_h", F.col("c.s") + 1, F.col("c.e") - F.col("c.s") + 1)).alias("_hash"),
+    pairs = _let(filled, lambda own: F.transform(own, lambda c, k: F.struct(
+        c["i"].alias("s"), F.get(own, k + 1)["i"].alias("e"),
+        F.xxhash64(c["h"], F.get(own, k + 1)["h"], F.get(own, k + 1)["i"] - c["i"]).alias("h"),
+    )))
+    cut = docs.where(F.col(text_col).contains("\n")).select(F.col(id_col).alias("_id"), F.explode(pairs).alias("c"))
+    return cut.where(F.col("c.e").isNotNull()).select(
+        "_id", F.col("c.s").alias("_start"), F.col("c.e").alias("_end"), F.col("c.h").alias("_hash")
     )
 
 
@@ -58,47 +52,80 @@ def _place() -> Column:
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Spans (struct s, e) as disjoint ranges in order."""
+    def ranges(own: Column) -> Column:
+        first = F.filter(own, lambda c, k: (k == 0) | (c["s"] > F.coalesce(F.get(own, k - 1)["e"], F.lit(-1))))
+        last = F.filter(own, lambda c, k: F.coalesce(F.get(own, k + 1)["s"] > c["e"], F.lit(True)))
+        return F.zip_with(first, last, lambda a, b: F.struct(a["s"].alias("s"), b["e"].alias("e")))
+
+    return _let(F.array_sort(spans), ranges)
+
+
 def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id and _spans (struct s, e) of the chunks to remove, one row per document that has any."""
-    found = chunks(docs, id_col, text_col)
-    twice = found.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    wanted = found.join(twice.select("_hash"), "_hash", "left_semi")
-    spans = wanted.groupBy("_id").agg(F.collect_set(F.struct("_start", "_end")).alias("_spans"))
+    """_id and _spans (struct s, e; disjoint, in order) of the lines to remove, one row per document that has any."""
+    found = windows(docs, id_col, text_col)
+    twice = found.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"), F.min(_place()).alias("_first"))
+    # The first window of a hash is the first of its text: it takes part in the search, but is never removed.
+    wanted = found.join(twice.where(F.col("_n") > 1), "_hash").withColumn("_later", _place() != F.col("_first"))
+    spans = wanted.groupBy("_id").agg(F.collect_set(F.struct("_start", "_end", "_later")).alias("_spans"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(spans, "_id")
-    own = texts.select("_id", F.split("_text", "\n", -1).alias("_lines"), "_spans").select(
-        "_id", "_lines", F.explode("_spans").alias("c")
+    cut = _let(F.split("_text", "\n", -1), lambda lines: F.transform("_spans", lambda c: F.struct(
+        c["_start"].alias("s"), c["_end"].alias("e"), c["_later"].alias("later"),
+        F.array_join(F.slice(lines, c["_start"] + 1, c["_end"] - c["_start"] + 1), "\n").alias("t"),
+    )))
+    own = texts.select("_id", F.explode(cut).alias("c")).select(
+        "_id", F.col("c.s").alias("_start"), F.col("c.e").alias("_end"), F.col("c.t").alias("_window"), "c.later"
     )
-    own = own.select(
-        "_id", F.col("c._start").alias("_start"), F.col("c._end").alias("_end"),
-        F.array_join(F.slice("_lines", F.col("c._start") + 1, F.col("c._end") - F.col("c._start") + 1), "\n").alias("_chunk"),
-    ).where(F.col("_chunk").rlike(r"[^\s]"))
-    first = own.groupBy("_chunk").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    later = own.join(first.where(F.col("_n") > 1), "_chunk").where(_place() != F.col("_first"))
-    return later.groupBy("_id").agg(
+    first = own.groupBy("_window").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # A window that overlaps the first one of its own text stays with it.
+    later = own.where("later").join(first.where(F.col("_n") > 1), "_window").where(
+        _place() - F.col("_first") > F.col("_end") - F.col("_start")
+    )
+    gone = later.groupBy("_id").agg(
         F.collect_set(F.struct(F.col("_start").alias("s"), F.col("_end").alias("e"))).alias("_spans")
     )
+    return gone.select("_id", _merged(F.col("_spans")).alias("_spans"))
+
+
+def _without(lines: Column, spans: Column) -> Column:
+    """The lines outside of disjoint spans in order."""
+    def between(own: Column) -> Column:
+        def part(k: Column) -> Column:
+            start = F.coalesce(F.get(spans, k - 1)["e"] + 1, F.lit(0))
+            end = F.coalesce(F.get(spans, k)["s"], F.size(own))
+            return F.slice(own, start + 1, F.greatest(end - start, F.lit(0)))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(spans)), part))
+
+    return _let(lines, between)
 
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "lines_removed"
 ) -> DataFrame:
-    """``docs`` with repeated chunks cut out of the text, and the number of lines removed.
+    """``docs`` without later runs of two or more equal lines, and the number of lines removed.
 
-    Ids are integers. Of equal chunks the one in the document with the smallest id
+    Ids are integers. Of equal windows the one in the document with the smallest id
     stays, and there the first. Rows that repeat an id count as one document and keep
-    what it keeps. A null id takes no part, a null or empty text has no chunk: both
-    come back as they are, as do texts of one line and chunks of blank lines. A text
-    whose lines all go becomes empty. Other columns are kept; columns named like
-    those used here do not matter.
+    what it keeps. A null id takes no part, a text with fewer than two lines that are
+    not blank has no window: both come back as they are, as does a line that is
+    repeated without a neighbour. A text of which only blank lines would be left
+    becomes empty. Other columns are kept; columns named like those used here do not
+    matter.
     """
     hidden, names = fields.hide(docs, keep=(id_col, text_col))
     gone = repeated(docs.select(id_col, text_col), id_col, text_col).select(F.col("_id").alias(id_col), "_spans")
     lines = F.split(text_col, "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.exists("_spans", lambda c: (i >= c["s"]) & (i <= c["e"])))
+    kept = F.array_join(_without(lines, F.col("_spans")), "\n")
     count = F.aggregate("_spans", F.lit(0), lambda n, c: n + c["e"] - c["s"] + 1)
-    joined = hidden.join(gone, id_col, "left")
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    joined = hidden.join(gone, id_col, "left").withColumn(
+        "_kept", F.when(F.col("_spans").isNotNull(), kept)
+    )
+    empty = F.col("_kept").isNotNull() & ~F.col("_kept").rlike(r"[^\s]")
+    text = F.when(empty, F.lit("")).otherwise(F.coalesce(F.col("_kept"), F.col(text_col)))
+    removed = F.when(empty, F.size(lines)).otherwise(F.coalesce(count, F.lit(0)))
     return joined.select(
         *(text.alias(text_col) if c == text_col else F.col(h).alias(c) for c, h in names if c != removed_col),
-        F.coalesce(count, F.lit(0)).cast("long").alias(removed_col),
+        removed.cast("long").alias(removed_col),
     )
