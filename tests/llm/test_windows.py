@@ -1,0 +1,71 @@
+"""Every run of two or more equal lines is found, however short it is."""
+
+from collections import Counter
+
+from tickloom.llm import lines
+from tickloom.llm.queries import op6_line_dedup, table
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute(docs):
+    """Windows compared as strings, in order of document and place."""
+    first, gone = {}, {}
+    for doc, text in sorted(((d, t) for d, t in docs if d is not None and t is not None), key=lambda x: x[0]):
+        if doc in gone:
+            continue
+        own, gone[doc] = text.split("\n"), set()
+        filled = [i for i, line in enumerate(own) if line.strip()]
+        for a, b in zip(filled, filled[1:]):
+            at = first.setdefault("\n".join(own[a : b + 1]), (doc, a))
+            if at[0] != doc or a - at[1] > b - a:
+                gone[doc] |= set(range(a, b + 1))
+    out = []
+    for doc, text in docs:
+        cut = gone.get(doc) if text is not None else None
+        if cut:
+            own = text.split("\n")
+            text = "\n".join(x for i, x in enumerate(own) if i not in cut)
+            out.append((doc, text, len(cut)) if text.strip() else (doc, "", len(own)))
+        else:
+            out.append((doc, text, 0))
+    return Counter(out)
+
+
+def result(df):
+    return Counter((r.doc_id, r.text, r.lines_removed) for r in df.collect())
+
+
+def test_query_equals_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    assert result(op6_line_dedup(spark, SF)) == brute(docs)
+
+
+def test_edge_cases(spark):
+    passage = "\n".join(f"line {i} of the shared passage" for i in range(14))
+    texts = [
+        (1, "start\n" + passage + "\nend"), (2, "other\nthings\n" + passage), (3, passage), (3, passage), (4, None),
+        (5, ""), (6, "one line"), (7, "one line"), (8, "\n" * 40), (9, "\n" * 40), (10, passage + "\n" + passage),
+        (None, passage), (11, "a\nb " * 20_000), (12, "x\n\ny\n\n"), (13, "x\n\ny\n\n"), (14, "c\nc\nc\nc\nc"),
+    ]
+    df = spark.createDataFrame([(i, t, "x", 9) for i, t in texts], "doc_id long, text string, _spans string, lines_removed int")
+    got = lines.dedup_lines(df)
+    assert set(got.columns) == set(df.columns)
+    assert result(got) == brute(texts)
+    assert {r._spans for r in got.collect()} == {"x"}
+
+
+def test_short_runs_go_from_their_first_line_to_their_last(spark):
+    rows = []
+    for n in range(2, 7):
+        for k in range(10):
+            run = [f"shared line {j} of run {k} with {n} lines" for j in range(n)]
+            rows.append((100 * n + k, "\n".join([f"before {n} {k}", *run, f"after {n} {k}"])))
+            rows.append((10_000 + 100 * n + k, "\n".join([f"head {n} {k}", f"more {n} {k}", *run, f"tail {n} {k}"])))
+    got = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, _ in rows:
+        n, k = doc % 10_000 // 100, doc % 100
+        if doc < 10_000:
+            assert got[doc].lines_removed == 0
+        else:
+            assert got[doc].text == f"head {n} {k}\nmore {n} {k}\ntail {n} {k}"
