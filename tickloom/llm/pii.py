@@ -162,19 +162,35 @@ def social(value: str, p: Permutation) -> str | None:
     return f"{place + 1 + (place >= 665):03d}{value[3]}{group + 1:02d}{value[6]}{serial + 1:04d}"
 
 
-def date(value: str, p: Permutation) -> str | None:
-    """yyyy-mm-dd and yyyy/mm/dd, dd.mm.yyyy, mm/dd/yyyy, from 1900 to 2099. One permutation for all."""
-    mark = next(c for c in value if not c.isdigit())
-    parts = value.split(mark)
-    order = "ymd" if len(parts[0]) == 4 else "mdy" if mark == "/" else "dmy"
+def _day(parts: list[str], order: str) -> int | None:
     by = dict(zip(order, map(int, parts), strict=True))
     try:
         day = dt.date(by["y"], by["m"], by["d"]).toordinal() - _FIRST_DAY
     except ValueError:
         return None
-    if not 0 <= day < _DAYS:
+    return day if 0 <= day < _DAYS else None
+
+
+def date(value: str, p: Permutation) -> str | None:
+    """yyyy-mm-dd and yyyy/mm/dd, dd.mm.yyyy, mm/dd/yyyy, from 1900 to 2099. One permutation for all.
+
+    dd/mm/yyyy is taken where mm/dd/yyyy is no date, that is with a day above 12, and the new
+    day is above 12 as well, so that different values stay apart.
+    """
+    mark = next(c for c in value if not c.isdigit())
+    parts = value.split(mark)
+    order = "ymd" if len(parts[0]) == 4 else "mdy" if mark == "/" else "dmy"
+    day = _day(parts, order)
+    turned = day is None and order == "mdy"
+    if turned:
+        order = "dmy"
+        day = _day(parts, order)
+    if day is None:
         return None
-    new = dt.date.fromordinal(_FIRST_DAY + p(day, _DAYS, "date"))
+    day = p(day, _DAYS, "date")
+    while turned and dt.date.fromordinal(_FIRST_DAY + day).day <= 12:
+        day = p(day, _DAYS, "date")
+    new = dt.date.fromordinal(_FIRST_DAY + day)
     return mark.join({"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}[c] for c in order)
 
 
@@ -204,7 +220,7 @@ KINDS: tuple[Kind, ...] = (
     ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", re.A), card),
     ("ip", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", re.A), ip),
     ("social", re.compile(r"(?<![\w-])\d{3}([- ])\d{2}\1\d{4}(?![\w-])", re.A), social),
-    ("date", re.compile(r"(?<![\w.-])(?:\d{4}([-/])\d{2}\1\d{2}|\d{2}([./])\d{2}\2\d{4})(?![\w-])", re.A), date),
+    ("date", re.compile(r"(?<![\w.-])(?:\d{4}([-/])\d{2}\1\d{2}(?=T\d)|(?:\d{4}([-/])\d{2}\2\d{2}|\d{2}([./])\d{2}\3\d{4})(?![\w-]))", re.A), date),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d(?:[ .()/-]{0,2}\d){7,14}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)", re.A), phone),
 )
 _ANY = re.compile(r"[0-9@=:]", re.A)
