@@ -1,0 +1,106 @@
+import hashlib
+import math
+import re
+
+import numpy as np
+import pytest
+
+from tickloom.llm import centroids
+from tickloom.llm.queries import op13_centroids, table
+
+SF = "/root/testdata/sf0.01"
+DIMS = 64
+
+
+def brute(rows, k=16, rounds=3, scale=64, dims=DIMS):
+    """Lloyd's rounds over Python integers, every distance in full."""
+    good = [
+        (i, [math.floor(x * scale) if abs(x) < 1e15 else int(x) * scale for x in v])
+        for i, v in rows
+        if i is not None and v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    first = sorted((hashlib.sha256(f"1:{i}".encode()).hexdigest(), v) for i, v in good)
+    own = [v for _, v in first[:k]]
+
+    def assign():
+        out = []
+        for _, v in good:
+            out.append(min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), n) for n, c in enumerate(own)))
+        return out
+
+    for _ in range(rounds):
+        found = assign()
+        for n in range(len(own)):
+            members = [v for (_, v), (_, c) in zip(good, found, strict=True) if c == n]
+            if members:
+                own[n] = [sum(x) // len(members) for x in zip(*members, strict=True)]
+    found = assign() if own else []
+    per = {n: sum(d for d, c in found if c == n) for n in range(len(own))}
+    long = lambda n: n if n < 1 << 63 else None
+    return sorted(
+        (i, c, long(d), long(per[c]), long(sum(per.values())), hashlib.sha256(",".join(map(str, own[c])).encode()).hexdigest())
+        for (i, _), (d, c) in zip(good, found, strict=True)
+    )
+
+
+def result(df):
+    return sorted(tuple(r) for r in df.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256").collect())
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.vec_id, r.embedding) for r in table(spark, SF, "embeddings").collect()]
+    got = result(op13_centroids(spark, SF))
+    assert got == brute(rows) and len(got) > 400 and len({r[1] for r in got}) > 8
+
+
+def test_progressive_search_equals_full_distances():
+    rng = np.random.default_rng(1)
+    by = centroids.order(DIMS)
+    for wide in (2, 100, 1 << 20):
+        x, c = rng.integers(-wide, wide + 1, (500, DIMS)), rng.integers(-wide, wide + 1, (16, DIMS))
+        c[5] = c[3]
+        full = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+        for kind in (np.int64, object):
+            best, d = centroids.nearest(centroids.transform(x.astype(kind), by), centroids.transform(c.astype(kind), by))
+            assert (best == full.argmin(axis=1)).all() and (d == full.min(axis=1)).all()
+
+
+def test_the_search_drops_centroids_early():
+    """Coarse coefficients alone rule out most centroids of vectors that differ in their mean."""
+    by = centroids.order(DIMS)
+    assert by[0] == 0 and sorted(by) == list(range(DIMS))
+    changes = [(np.diff(centroids.transform(np.eye(DIMS, dtype=int), by)[:, j]) != 0).sum() for j in range(DIMS)]
+    assert changes == sorted(changes) == list(range(DIMS))
+
+
+@pytest.mark.parametrize("rows_at_a_time", [3, 4096])
+def test_edge_cases(spark, monkeypatch, rows_at_a_time):
+    monkeypatch.setattr(centroids, "ROWS", rows_at_a_time)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=DIMS)]) for i in range(60)]
+    rows += [(i, [0.5] * DIMS) for i in range(60, 90)]  # equal vectors
+    rows += [(7, [float(x) for x in rng.normal(size=DIMS)]), (7, [0.25] * DIMS)]  # repeated id
+    rows += [(90, None), (91, []), (92, [1.0] * 63), (93, [1.0] * 65), (94, [math.nan] * DIMS)]
+    rows += [(95, [math.inf] + [0.0] * 63), (96, [None] + [0.0] * 63), (None, [1.0] * DIMS)]
+    df = spark.createDataFrame([(i, v, i, "x") for i, v in rows], "vec_id long, embedding array<double>, cluster long, v string")
+    assert result(centroids.cluster(df)) == brute(rows)
+    few = rows[:5]
+    assert result(centroids.cluster(df.where("vec_id < 5"))) == brute(few)
+    assert centroids.cluster(df.limit(0)).count() == 0
+    assert centroids.cluster(df.where("vec_id >= 92")).count() == 0
+    assert centroids.cluster(df.limit(0)).columns == centroids.cluster(df).columns
+
+
+@pytest.mark.parametrize("size", [1e5, 1e10, 1e200, 1e308])
+def test_large_components_are_exact(spark, size):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=DIMS)]) for i in range(30)]
+    rows += [(100 + i, [float(x) for x in rng.uniform(-1, 1, DIMS) * size]) for i in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert result(centroids.cluster(df)) == brute(rows)
+
+
+def test_only_sums_are_shuffled(spark):
+    df = centroids.kept(table(spark, SF, "embeddings"), DIMS, "vec_id", "embedding")
+    plan = centroids.assigned(df, [[0] * DIMS], 64, DIMS)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Exchange|Sort", plan)

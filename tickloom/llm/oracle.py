@@ -46,6 +46,41 @@ SELECT query_id, CAST(row_number() OVER (
          PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM p QUALIFY rank <= 5"""
 
+_ASSIGN = """
+a{n} AS (
+  SELECT vec_id, row, v, arg_min(number, (d, number)) AS number, min(d) AS d
+  FROM (SELECT v.*, c.number, CAST(list_sum(list_transform(list_zip(v.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+        FROM v CROSS JOIN c{n} c)
+  GROUP BY vec_id, row, v)"""
+
+_MOVE = """
+s{m} AS (
+  SELECT number, j, sum(x) AS s, count(*) AS n
+  FROM (SELECT number, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{n}) GROUP BY number, j),
+c{m} AS (
+  SELECT c.number, coalesce(m.c, c.c) AS c
+  FROM c{n} c LEFT JOIN (
+    SELECT number, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM s{m} GROUP BY number) m
+  ON m.number = c.number)"""
+
+CENTROIDS = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS row,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS INTEGER) AS number, v AS c
+  FROM v QUALIFY number < 16),""" + ",".join(
+    [_ASSIGN.format(n=n) + "," + _MOVE.format(n=n, m=n + 1) for n in range(3)] + [_ASSIGN.format(n=3)]
+) + """
+SELECT vec_id, a3.number AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a3.number) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c3.c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.number = a3.number"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_jaccard": JACCARD, "op9_top_k": TOP_K}
+    return {"op1_jaccard": JACCARD, "op9_top_k": TOP_K, "op13_centroids": CENTROIDS}

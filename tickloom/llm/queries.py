@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, jaccard, langid, lines, outliers, packing, pii, sharding, topk, urls
+from tickloom.llm import (
+    bpe,
+    centroids,
+    jaccard,
+    langid,
+    lines,
+    outliers,
+    packing,
+    pii,
+    sharding,
+    topk,
+    urls,
+)
 from tickloom.llm.oracle import all_oracles as all_oracles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +103,10 @@ def op10_quality(spark, sf_dir):
     return outliers.quality(table(spark, sf_dir, "documents"))
 
 
+def op13_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -109,5 +125,6 @@ def all_queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_top_k": op9_top_k,
         "op10_quality": op10_quality,
+        "op13_centroids": op13_centroids,
         "pipeline": pipeline,
     }
