@@ -16,6 +16,7 @@ from tickloom.llm import (
     lines,
     outliers,
     packing,
+    periods,
     pii,
     sharding,
     topk,
@@ -103,6 +104,10 @@ def op10_quality(spark, sf_dir):
     return outliers.quality(table(spark, sf_dir, "documents"))
 
 
+def op12_periods(spark, sf_dir):
+    return periods.digests(table(spark, sf_dir, "documents"), rewrite=periods.looped)
+
+
 def op13_centroids(spark, sf_dir):
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -125,6 +130,7 @@ def all_queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_top_k": op9_top_k,
         "op10_quality": op10_quality,
+        "op12_periods": op12_periods,
         "op13_centroids": op13_centroids,
         "pipeline": pipeline,
     }
