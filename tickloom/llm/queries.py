@@ -18,6 +18,7 @@ from tickloom.llm import (
     packing,
     periods,
     pii,
+    quality_net,
     sharding,
     topk,
     urls,
@@ -104,6 +105,14 @@ def op10_quality(spark, sf_dir):
     return outliers.quality(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_net(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    net = quality_net.train(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return quality_net.score(docs, net).select("doc_id", "held_out", "score", "predicted")
+
+
 def op12_periods(spark, sf_dir):
     return periods.digests(table(spark, sf_dir, "documents"), rewrite=periods.looped)
 
@@ -130,6 +139,7 @@ def all_queries() -> dict[str, Query]:
         "op8_sharding": op8_sharding,
         "op9_top_k": op9_top_k,
         "op10_quality": op10_quality,
+        "op11_quality_net": op11_quality_net,
         "op12_periods": op12_periods,
         "op13_centroids": op13_centroids,
         "pipeline": pipeline,
