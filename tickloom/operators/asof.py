@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.nullsafe import join_on
-from tickloom.functions.timeaxis import MINUTE, epoch_micros, slice_start
+from tickloom.operators.minutes import group_key, look_up, timed, value_index
 from tickloom.schema import INSTRUMENT_DAY, QUOTE_TYPE, TIMELINE, TRADE_TYPE
 
 FILLED = {"trade_pr": "last_trade_price", "mov_avg_pr": "last_mov_avg_price"}
@@ -65,75 +64,18 @@ def forward_fill(
 
     Rows are ordered by time; at one instant trades come before quotes, or after
     them when ``inclusive`` is false. A trade without a price comes before the
-    priced ones of its instant, and shows the last one of an earlier instant.
+    priced ones of its instant, and shows the last one of an earlier instant. Quotes
+    hold none of the columns themselves.
     """
-    timed = _timed(timeline)
-    found = join_on(timed, _values_at(timed, by, columns), [*by, "_slice", "_us"], "left")
-    return found.withColumns(_seen(columns, inclusive)).select(*timeline.columns, *columns.values())
-
-
-def _timed(timeline: DataFrame) -> DataFrame:
-    us = epoch_micros(timeline, "event_tm")
-    return timeline.withColumns({"_us": us, "_slice": slice_start(us, MINUTE)})
-
-
-def _values_at(
-    timed: DataFrame, by: Sequence[str], columns: Iterable[str], spread: Sequence[str] = ()
-) -> DataFrame:
-    """Per distinct instant the last value at it and the last one before it.
-
-    Rows of an instant are merged within tasks. One window then runs over the
-    instants of a minute, one over the minutes of a group: both are bounded however
-    many rows a group has. The minute is fixed and does not depend on the data.
-    Columns in ``spread`` hold at most one distinct value per group, which all of
-    its instants get.
-    """
-    minute = [*by, "_slice"]
-    at = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct("event_seq_nb", c))).getField(c).alias(f"_at_{c}")
-        for c in columns
-    ]
-    whole = [F.max(c).alias(c) for c in spread]
-    instants = timed.groupBy(*minute, "_us").agg(*at, *whole)
-    ends = instants.groupBy(*minute).agg(
-        *[
-            F.max(F.when(F.col(f"_at_{c}").isNotNull(), F.struct("_us", f"_at_{c}")))
-            .getField(f"_at_{c}")
-            .alias(f"_end_{c}")
-            for c in columns
-        ],
-        *whole,
-    )
-    minutes = Window.partitionBy(*by).orderBy("_slice")
-    earlier = minutes.rowsBetween(Window.unboundedPreceding, -1)
-    all_day = minutes.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = ends.select(
-        *minute,
-        *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns],
-        *[F.max(c).over(all_day).alias(c) for c in spread],
-    )
-    before = Window.partitionBy(*minute).orderBy("_us").rowsBetween(Window.unboundedPreceding, -1)
-    joined = join_on(instants.drop(*spread), carried, minute, "left")
-    return joined.select(
-        *minute, "_us", *spread,
-        *[f"_at_{c}" for c in columns],
-        *[
-            F.coalesce(F.last(f"_at_{c}", ignorenulls=True).over(before), F.col(f"_carry_{c}")).alias(
-                f"_before_{c}"
-            )
-            for c in columns
-        ],
-    )
-
-
-def _seen(columns: Mapping[str, str], inclusive: bool) -> dict[str, Column]:
-    """What a row sees: a quote the last value at its instant or before it, a trade its own first."""
-    quote = F.col("rec_type") == QUOTE_TYPE
-    new = {}
-    for c, out in columns.items():
-        latest = F.coalesce(f"_at_{c}", f"_before_{c}") if inclusive else F.col(f"_before_{c}")
-        new[out] = F.when(quote, latest).otherwise(F.coalesce(c, f"_before_{c}"))
-    return new
+    rows = timed(timeline, "event_tm")
+    # A trade looks before its own instant, because its own value comes first.
+    own = F.col("rec_type") == QUOTE_TYPE if inclusive else F.lit(False)
+    asked = rows.withColumns({"_key": group_key(by), "_seen": F.col("_us") - F.when(own, 0).otherwise(1)})
+    found = look_up(asked, value_index(rows, by, list(columns)), ["_key"])
+    new = {
+        out: F.coalesce(c, F.col("_found")[c], f"_carry_{c}") for c, out in columns.items()
+    }
+    return found.withColumns(new).select(*timeline.columns, *columns.values())
 
 
 def asof_last_trade(
@@ -146,12 +88,16 @@ def asof_last_trade(
     """Each quote with the last trade price and average as of its time.
 
     A quote sees the trades of its own date and instrument and the carried-in one.
-    Only quotes are joined back to the instants; trades are merged per instant.
+    Trades are merged into the minute index, and each quote meets its minute once.
     """
-    timed = _timed(merged_timeline(trades, quotes, seeds, close))
     spread = [] if close is None else [close]
-    values = _values_at(timed, INSTRUMENT_DAY, FILLED, spread)
-    wanted = _timed(_shaped(quotes, QUOTE_TYPE, "latest_quote"))
-    found = join_on(wanted, values, [*INSTRUMENT_DAY, "_slice", "_us"], "left")
+    line = merged_timeline(trades, quotes, seeds, close)
+    index = value_index(timed(line, "event_tm"), INSTRUMENT_DAY, list(FILLED), spread)
+    wanted = timed(_shaped(quotes, QUOTE_TYPE, "latest_quote").drop(*FILLED), "event_tm")
+    asked = wanted.withColumns(
+        {"_key": group_key(INSTRUMENT_DAY), "_seen": F.col("_us") - (0 if inclusive else 1)}
+    )
+    found = look_up(asked, index, ["_key"])
     names = [c for c in TIMELINE.names if c not in FILLED]
-    return found.withColumns(_seen(FILLED, inclusive)).select(*names, *spread, *FILLED.values())
+    new = {out: F.coalesce(F.col("_found")[c], f"_carry_{c}") for c, out in FILLED.items()}
+    return found.withColumns(new).select(*names, *spread, *FILLED.values())
