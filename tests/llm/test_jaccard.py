@@ -145,3 +145,32 @@ def test_components(spark):
     found = {r.a: r.b for r in stars(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {4: 3, 5: 3, 9: 3, 21: 20, 22: 20, **{i: 100 for i in range(101, 161)}}
     assert stars(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_an_id_with_several_texts_has_the_links_of_all(spark):
+    rng = random.Random(9)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    first, second, third = words(30), words(30), words(60)
+    rows = [(1, first), (1, second), (2, [*second, "extra"]), (3, third), (3, words(9)), (3, [*first, "more"]), (4, third)]
+    rows += [(5, words(12)), (6, words(12))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(4)
+    found = {(r.doc_id, r.component_id) for r in jaccard.components(df, 4, 85, 100).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5), (6, 6)}
+
+
+def test_blocks_of_the_main_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    rng = np.random.default_rng(4)
+    sketch = rng.integers(0, 2**62, 16, np.uint64)
+    rows = []
+    for i in range(300):
+        own = sketch.copy()
+        own[i % 16] ^= np.uint64(1 << (i % 60))
+        root = 0 if i >= 15 else 1000 + i
+        rows.append((7, i, 500, root, 0, own.tobytes()))
+    listed = spark.createDataFrame(rows, "key long, rep long, n long, root long, main long, sketch binary").repartition(3)
+    pairs = {(r.a, r.b) for r in jaccard.compare_lists(listed, jaccard.Rule(5, 80, 100)).collect()}
+    assert pairs == {(a, b) for a in range(300) for b in range(min(a, 15))}
+    plan = jaccard.compare_lists(listed, jaccard.Rule(5, 80, 100))
+    dealt = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in dealt

@@ -79,3 +79,10 @@ def test_sample_is_bounded_and_takes_each_text_once(spark, monkeypatch):
     segments, labels = langid.sample(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
     assert labels.count("de") == 1 and 1 <= labels.count("en") <= 5
     assert segments.count(b"same text here") <= 1
+
+
+def test_a_language_of_repeated_texts_is_learned(spark):
+    rows = [("un texte", "fr"), ("autre texte", "fr")] * 10_000
+    rows += [(f"text number {i}", "en") for i in range(50)] + [(f"ein text {i}", "de") for i in range(50)]
+    _, labels = langid.sample(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    assert {k: labels.count(k) for k in set(labels)} == {"fr": 2, "en": 50, "de": 50}

@@ -48,3 +48,27 @@ def test_edge_cases(spark, monkeypatch, block):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
     doubled = topk.top_k(df.union(df), F.col("vec_id") % 2 == 0, 5).collect()
     assert sorted(tuple(r) for r in doubled) == brute(rows, lambda i: i % 2 == 0, 5)
+
+
+@pytest.mark.parametrize("size", [1e5, 1e10, 1e13])
+def test_large_components_are_ranked_exactly(spark, size):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(40)]
+    rows += [(40 + i, [float(x) for x in rng.normal(size=8) * size]) for i in range(20)]
+    rows += [(60, rows[45][1][:7] + [rows[45][1][7] * (1 + 1e-12)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    good = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in good if i % 2 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)
+        want += [(q, n + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for n, (s, i) in enumerate(scores[:5])]
+    got = topk.top_k(df, F.col("vec_id") % 2 == 0).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted(w[:3] for w in want)
+    assert sorted(map(str, got)) == sorted(str(g) for g in got) and {tuple(r) for r in got} == set(want)
+
+
+def test_components_beyond_a_score_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (2, [3.0, 4.0]), (4, [1e300, 1.0]), (6, [-1e16, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.lit(True)).collect()
+    assert sorted((r.query_id, r.vec_id) for r in got) == [(0, 2), (2, 0)]

@@ -264,32 +264,43 @@ def _differ(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a > b) of members of a list in different components whose sketches allow a link.
 
-    ``listed`` has key, rep, n, root, main (the root of most members) and sketch. A list
-    of more than ``BLOCK`` members is dealt out as pairs of blocks, so that no task holds
-    more than two blocks of a list and a long list is shared by many.
+    ``listed`` has key, rep, n, root, main (the root of most members) and sketch. The
+    lesser members, those of other roots, and the rest are cut into blocks of about
+    ``BLOCK``. Lesser blocks meet each other and the blocks of the rest, which do not
+    meet among themselves: rows grow with lesser members times blocks, no task holds
+    more than two blocks of a list, and a long list is shared by many.
     """
-    sizes = listed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
-    own = F.pmod(F.xxhash64("rep"), F.col("_blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
-    dealt = listed.join(sizes, "key").withColumn("_own", own).withColumn("_other", other)
-    dealt = dealt.select(
-        "key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "_own",
-        "rep", "n", "root", "main", "sketch",
+    lesser = F.col("root") != F.col("main")
+    count = lambda mask: F.ceil(F.count(F.when(mask, 1)) / BLOCK)
+    sizes = listed.groupBy("key").agg(count(lesser).alias("_few"), count(~lesser).alias("_rest"))
+    dealt = listed.join(sizes, "key").withColumn("_lesser", lesser)
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("_lesser"), F.col("_few")).otherwise(F.col("_rest")))
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    pair = lambda kind, i, j: F.struct(F.lit(kind).cast("long").alias("kind"), i.alias("i"), j.alias("j"))
+    # Kind 0: two lesser blocks; kind 1: a lesser block and one of the rest.
+    few = F.transform(upto("_few"), lambda k: pair(0, F.least(k, F.col("_own")), F.greatest(k, F.col("_own"))))
+    across = F.transform(upto("_rest"), lambda k: pair(1, F.col("_own"), k))
+    back = F.transform(upto("_few"), lambda k: pair(1, k, F.col("_own")))
+    tags = F.explode(F.when(F.col("_lesser"), F.concat(few, across)).otherwise(back))
+    dealt = dealt.withColumn("_own", own).withColumn("_tag", tags).select(
+        "key", F.col("_tag.kind").alias("_kind"), F.col("_tag.i").alias("_i"), F.col("_tag.j").alias("_j"), "_own", "_lesser",
+        "rep", "n", "root", "sketch",
     )
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     share = (rule.den - rule.num) / (rule.den + rule.num)
 
     def links(rows: pa.Table) -> pa.RecordBatch:
-        rep, n, root, main = (rows.column(c).to_numpy() for c in ("rep", "n", "root", "main"))
-        own, first = rows.column("_own").to_numpy(), rows.column("_i")[0].as_py()
-        one_block = first == rows.column("_j")[0].as_py()
+        rep, n, root = (rows.column(c).to_numpy() for c in ("rep", "n", "root"))
         words = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(rep), -1)
-        lesser = root != main
         found = [np.zeros((2, 0), np.int64)]
-        sides = [(lesser, np.ones(len(rep), bool))]
-        if not one_block:
-            low = own == first
-            sides = [(lesser & low, ~low), (lesser & ~low, low)]
+        kind, i, j = (rows.column(c)[0].as_py() for c in ("_kind", "_i", "_j"))
+        if kind:
+            low = rows.column("_lesser").to_numpy()
+        else:
+            low = rows.column("_own").to_numpy() == i
+        sides = [(low, low if not kind and i == j else ~low)]
         for left, right in sides:
             left, right = np.flatnonzero(left), np.flatnonzero(right)
             for at in range(0, len(left), 256):
@@ -308,7 +319,7 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tags = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            tags = np.stack([batch.column(c).to_numpy() for c in range(4)], axis=1)
             cuts = np.flatnonzero((tags[1:] != tags[:-1]).any(axis=1)) + 1
             for a, b in zip(np.r_[0, cuts].tolist(), [*cuts.tolist(), len(tags)], strict=True):
                 tag = tuple(tags[a].tolist())
@@ -320,7 +331,7 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
         if held:
             yield links(pa.Table.from_batches(held))
 
-    ordered = dealt.repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
+    ordered = dealt.repartition("key", "_kind", "_i", "_j").sortWithinPartitions("key", "_kind", "_i", "_j")
     return ordered.mapInArrow(run, "a long, b long")
 
 
@@ -376,7 +387,8 @@ def components(
     x = boundary(rule, sizes)
     of_id = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
     of_id = staged(of_id, "jaccard-ids")
-    reps = members.where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "n", "sketch")
+    # An id whose rows differ may represent several classes: it has a size and a sketch for each.
+    reps = members.where("doc_id = rep").select("rep", "n", "sketch").distinct()
     reps = staged(reps, "jaccard-reps")
     copies = of_id.join(reps, of_id.doc_id == reps.rep, "left_anti").select(F.col("doc_id").alias(id_col))
     texts = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
@@ -386,15 +398,18 @@ def components(
     # Each member with its list's first.
     side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"))
     spokes = lists.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).where("a <> b").distinct()
-    spokes = staged(spokes.join(side("a"), "a").join(side("b"), "b").where(_compatible(rule, "n_a", "n_b")), "jaccard-pairs")
-    same_id = of_id.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    spokes = spokes.join(side("a"), "a").join(side("b"), "b").where(_compatible(rule, "n_a", "n_b"))
+    spokes = staged(spokes.select("a", "b").distinct(), "jaccard-pairs")
+    several = of_id.where("rep <> other").select("doc_id", F.col("rep").alias("a"))
+    same_id = several.join(members.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a <> b")
+    same_id = same_id.select("a", "b").distinct()
     links = checked(spokes, docs, rule, id_col, text_col).unionByName(same_id)
     found = stars(links)
 
     # Lists that still hold several components: their lesser members against the rest.
     rooted = reps.join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
     rooted = staged(rooted.select("rep", "n", "sketch", F.coalesce("root", "rep").alias("root")), "jaccard-roots")
-    root = lists.join(rooted.select(F.col("rep").alias("doc_id"), "root"), "doc_id")
+    root = lists.join(rooted.select(F.col("rep").alias("doc_id"), "root").distinct(), "doc_id")
     tallies = root.groupBy("key", "root").count()
     most = tallies.groupBy("key").agg(
         F.max(F.struct("count", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("roots")

@@ -201,13 +201,19 @@ def sample(docs: DataFrame, text_col: str, lang_col: str) -> tuple[list[bytes],
     rows = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    # Texts that repeat are drawn once, so the share is set by the number of distinct ones; the estimate
+    # is off by a few hundredths.
+    distinct = F.approx_count_distinct(F.xxhash64("text")).alias("texts")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), distinct)
+    counts = counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return [], []
-    share = F.create_map(*(F.lit(v) for r in counts for v in (r["lang"], min(1.0, 2 * SAMPLE / r["count"]))))
+    share = F.create_map(
+        *(F.lit(v) for r in counts for v in (r["lang"], min(1.0, 3 * SAMPLE / max(r["texts"], 1))))
+    )
     u = F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(1 << 53))
     at = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - TRAIN_BYTES, F.lit(1))) + 1
-    few = rows.withColumn("u", u).where(F.col("u") < F.element_at(share, F.col("lang"))).select(
+    few = rows.withColumn("u", u).where(F.col("u") <= F.element_at(share, F.col("lang"))).select(
         "lang", "u", F.substr("text", at.cast("int"), F.lit(TRAIN_BYTES)).alias("segment")
     )
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("u", "segment"))

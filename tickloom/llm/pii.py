@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 from tickloom.llm import fields
 
 ROUNDS = 10
+#: Characters that are permuted together; longer values are permuted block by block.
+BLOCK = 64
 _CLASSES = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
 _FIRST_DAY = dt.date(1900, 1, 1).toordinal()
 _DAYS = dt.date(2100, 1, 1).toordinal() - _FIRST_DAY
@@ -67,7 +69,17 @@ class Permutation:
         return out[::-1]
 
     def characters(self, text: str, label: str) -> str:
-        """Letters and digits, each within its class; other characters stay."""
+        """Letters and digits, each within its class; other characters stay.
+
+        A long text is cut into blocks. What became of the blocks before enters the label
+        of the next one, so the whole is a permutation and its cost follows the length.
+        """
+        if len(text) > BLOCK:
+            out, before = [], hashlib.blake2b(digest_size=16)
+            for at in range(0, len(text), BLOCK):
+                out.append(self.characters(text[at : at + BLOCK], f"{label}|{at}|{before.hexdigest()}|"))
+                before.update(out[-1].encode())
+            return "".join(out)
         classes = [next((c for c in _CLASSES if ch in c), "") for ch in text]
         at = [i for i, c in enumerate(classes) if c]
         form = "".join(c[:1] for c in classes)
@@ -196,6 +208,8 @@ def date(value: str, p: Permutation) -> str | None:
 
 def mail(value: str, p: Permutation) -> str | None:
     local, _, domain = value.rpartition("@")
+    if not any(c.isalnum() for c in local):
+        return None
     return p.characters(local, "mail") + "@" + domain
 
 
@@ -213,7 +227,7 @@ Kind = tuple[str, re.Pattern, Callable[[str, Permutation], str | None]]
 
 #: In order of precedence; a candidate that fails its check is left to the kinds after it.
 KINDS: tuple[Kind, ...] = (
-    ("mail", re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", re.A), mail),
+    ("mail", re.compile(r"(?<![\w.+%-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", re.A), mail),
     ("access_key", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"), access_key),
     ("secret", re.compile(r"(?i)(?<![A-Za-z])(?:password|passwd|pwd|secret|api[_-]?key|token)\s*[=:]\s*[\"']?[^\s\"',;]{6,}"), secret),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{1,4}){3,8}(?![A-Za-z0-9])", re.A), iban),
@@ -231,12 +245,14 @@ def pseudonyms(text: str, p: Permutation, kinds: tuple[Kind, ...] = KINDS) -> tu
     if not _ANY.search(text):
         return text, []
     found: list[tuple[int, int, str, str]] = []
+    taken = bytearray(len(text))
     for kind, pattern, replace in kinds:
         for m in pattern.finditer(text):
-            if all(m.end() <= a or m.start() >= b for a, b, _, _ in found):
+            if 1 not in taken[m.start() : m.end()]:
                 new = replace(m.group(), p)
                 if new is not None:
                     found.append((m.start(), m.end(), kind, new))
+                    taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
     out, spans, at, length = [], [], 0, 0
     for start, end, kind, new in sorted(found):
         out += [text[at:start], new]

@@ -31,13 +31,17 @@ BLOCK = 8192
 CHUNK = 4096
 FIRST_READ = 16
 _SLICE = 128
+#: Integers below this size take part; their inner products fit 38 decimal digits up to 2 ** 14 dimensions.
+LARGE = 1 << 56
+#: Below this size inner products of up to 2 ** 9 dimensions fit 64 bits.
+SMALL = 1 << 27
 
 
 def quantised(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id and v = floor(scale * x) as array<long>; only vectors with finite components."""
+    """vec_id and v = floor(scale * x) as array<long>; only vectors with finite components below ``LARGE``."""
     x = F.col(vector_col)
     good = F.col(id_col).isNotNull() & x.isNotNull() & ~F.exists(
-        x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))
+        x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e.cast("double")) >= float(LARGE // scale))
     )
     v = F.transform(x, lambda e: F.floor(e.cast("double") * scale))
     return vectors.where(good).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
@@ -93,7 +97,12 @@ def bounds(q: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray)
     at_floor = q @ floor.T
     below = np.minimum(q, 0) @ spread
     above = np.maximum(q, 0) @ spread
-    return at_floor + below[:, None], at_floor + above[:, None]
+    size = np.abs(q).max(initial=0) * (np.abs(floor).max(initial=0) + spread.max(initial=0)) * (q.shape[1] + 1)
+    if size < 2.0**52:
+        return at_floor + below[:, None], at_floor + above[:, None]
+    # Doubles round; each bound moves outwards by more than all roundings together.
+    slack = (np.abs(q) @ np.abs(floor).T + (above - below)[:, None]) * ((q.shape[1] + 8) * 2.0**-50) + 1
+    return at_floor + below[:, None] - slack, at_floor + above[:, None] + slack
 
 
 def scan(blocks: DataFrame, queries, k: int) -> DataFrame:
@@ -132,7 +141,14 @@ def _nth_best(rows: DataFrame, by: str, n: int) -> DataFrame:
 
 def _exact(pairs: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """Reads the vectors of the pairs and adds their score."""
-    product = F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    short = F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    whole = "decimal(38,0)"
+    long = F.aggregate(
+        F.zip_with("v", "q", lambda a, b: (a.cast("decimal(18,0)") * b.cast("decimal(18,0)")).cast(whole)),
+        F.lit(0).cast(whole), lambda s, x: (s + x).cast(whole),
+    )
+    wide = lambda c: (F.size(c) > 512) | F.exists(c, lambda e: F.abs(e) >= SMALL)
+    product = F.when(wide("v") | wide("q"), long).otherwise(short.cast(whole))
     return (
         pairs.select("qid", "uid").join(vectors.select("uid", "v", "ids"), "uid")
         .join(queries.select(F.col("uid").alias("qid"), F.col("v").alias("q")), "qid")
@@ -160,9 +176,10 @@ def top_k(
     Scores are inner products of floor(scale * x); ties go to the smaller id. Rows
     without an id and vectors that are null or hold a null, NaN or infinite component
     take no part; vectors of another number of dimensions than the query's are not
-    compared with it. Rows with the same id and vector are one; an empty table or no query gives no rows. Results
-    are exact while the products fit 53 bits (components below 2 ** 23 at 64
-    dimensions). Other columns are ignored.
+    compared with it. Rows with the same id and vector are one; an empty table or no query
+    gives no rows. Results are exact for all components below ``LARGE`` / scale; vectors
+    with larger ones, whose products no longer fit a score, take no part either. A score
+    beyond 64 bits is null, its rank is right. Other columns are ignored.
     """
     spark = vectors.sparkSession
     rows = staged(quantised(vectors, scale, id_col, vector_col), "topk-rows")
@@ -195,5 +212,6 @@ def top_k(
     own = owners.join(lists, owners.uid == lists.qid)
     others = F.slice(F.filter("best", lambda b: b["vec_id"] != F.col("vec_id")), 1, k)
     return own.select(F.col("vec_id").alias("query_id"), F.posexplode(others).alias("p", "b")).select(
-        "query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), F.col("b.score").alias("score")
+        "query_id", (F.col("p") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"),
+        F.col("b.score").try_cast("long").alias("score"),
     )
