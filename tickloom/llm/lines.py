@@ -106,22 +106,21 @@ def _merged(spans: Column) -> Column:
     return _let(_let(_let(F.array_sort(spans), longest), reaching), ranges)
 
 
-def _variants() -> Column:
+def _variants(c: Column) -> Column:
     """The spans of a chunk whose texts are compared.
 
     The first one of its hash gives all it may be compared with, a later one its own
     two lines and, if it grows, all lines that seem to be equal.
     """
-    back, ahead = F.col("c._before"), F.col("c._after")
-    start, end = F.col("c._start"), F.col("c._end")
-    span = lambda s, e: F.struct(s.alias("s"), e.alias("e"), F.col("c._later").alias("later"))
-    grown = span(F.when(F.col("c._back"), back).otherwise(start), F.when(F.col("c._ahead"), ahead).otherwise(end))
-    later = F.array(span(start, end), F.when(F.col("c._back") | F.col("c._ahead"), grown))
+    back, ahead, start, end = c["_before"], c["_after"], c["_start"], c["_end"]
+    span = lambda s, e: F.struct(s.alias("s"), e.alias("e"), c["_later"].alias("later"))
+    grown = span(F.when(c["_back"], back).otherwise(start), F.when(c["_ahead"], ahead).otherwise(end))
+    later = F.array(span(start, end), F.when(c["_back"] | c["_ahead"], grown))
     first = F.array(
         span(start, end), F.when(back.isNotNull(), span(back, end)), F.when(ahead.isNotNull(), span(start, ahead)),
         F.when(back.isNotNull() & ahead.isNotNull(), span(back, ahead)),
     )
-    return F.array_compact(F.when(F.col("c._later"), later).otherwise(first))
+    return F.array_compact(F.when(c["_later"], later).otherwise(first))
 
 
 def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -142,12 +141,11 @@ def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     of = wanted.groupBy("_id").agg(F.collect_set(F.struct(*wanted.columns[1:])).alias("_chunks"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(of, "_id")
-    spans = texts.select("_id", "_text", F.explode("_chunks").alias("c")).select("_id", "_text", _variants().alias("_spans"))
-    spans = spans.groupBy("_id").agg(F.first("_text").alias("_text"), F.flatten(F.collect_list("_spans")).alias("_spans"))
-    cut = _let(F.split("_text", "\n", -1), lambda lines: F.transform(F.array_distinct("_spans"), lambda c: F.struct(
+    spans = F.array_distinct(F.flatten(F.transform("_chunks", _variants)))
+    cut = _let(F.split("_text", "\n", -1), lambda lines: F.transform(spans, lambda c: F.struct(
         c["s"], c["e"], c["later"], F.array_join(F.slice(lines, c["s"] + 1, c["e"] - c["s"] + 1), "\n").alias("t"),
     )))
-    own = spans.select("_id", F.explode(cut).alias("c")).select(
+    own = texts.select("_id", F.explode(cut).alias("c")).select(
         "_id", F.col("c.s").alias("_start"), F.col("c.e").alias("_end"), F.col("c.t").alias("_chunk"), "c.later"
     )
     firsts = own.groupBy("_chunk").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
