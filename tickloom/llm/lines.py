@@ -148,6 +148,7 @@ def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     own = texts.select("_id", F.explode(cut).alias("c")).select(
         "_id", F.col("c.s").alias("_start"), F.col("c.e").alias("_end"), F.col("c.t").alias("_chunk"), "c.later"
     )
+    own = staged(own, "lines-chunks")
     firsts = own.groupBy("_chunk").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
     firsts = staged(firsts.where(F.col("_n") > 1).drop("_n"), "lines-first")
     # A chunk that overlaps the first one of its own text stays with it.
