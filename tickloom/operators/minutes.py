@@ -72,7 +72,9 @@ def so_far(keys: Sequence[str]) -> WindowSpec:
     return in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def look_up(askers: DataFrame, index: DataFrame, keys: Sequence[str], out: str = "_found") -> DataFrame:
+def look_up(
+    askers: DataFrame, index: DataFrame, keys: Sequence[str], out: str = "_found", how: str = "inner"
+) -> DataFrame:
     """Each asker with the columns of its page, and as ``out`` the values at ``_seen`` (microseconds) or before it.
 
     ``_slice`` is the minute asked about; ``out`` is null where it has no instant that early.
@@ -81,25 +83,25 @@ def look_up(askers: DataFrame, index: DataFrame, keys: Sequence[str], out: str =
     other = index.withColumnsRenamed({k: f"_r{k}" for k in minute})
     same = " AND ".join(f"{k} = _r{k}" for k in minute)
     joined = askers.join(
-        other, F.expr(f"{same} AND (_from IS NULL OR _seen >= _from) AND (_to IS NULL OR _seen < _to)")
+        other, F.expr(f"{same} AND (_from IS NULL OR _seen >= _from) AND (_to IS NULL OR _seen < _to)"), how
     )
     return joined.withColumn(out, F.expr("try_element_at(filter(_list, e -> e.us <= _seen), -1).v"))
 
 
 def value_index(
-    rows: DataFrame, by: Sequence[str], columns: Sequence[str], spread: Sequence[str] = ()
+    values: DataFrame, marks: DataFrame, keys: Sequence[str], columns: Sequence[str], spread: Sequence[str] = ()
 ) -> DataFrame:
-    """The index of the last non-null value of each column, from ``timed`` rows.
+    """The index of the last non-null value of each column of ``values``.
 
-    The values of an instant are those of the highest ``event_seq_nb``. Columns in
-    ``spread`` hold at most one distinct value per group, which all its rows get. A
-    value left by the minutes before is in ``_carry_<column>``.
+    Both frames are ``timed`` and have the key columns; the rows of ``marks`` only say
+    which minutes are asked about. The values of an instant are those of the highest
+    ``event_seq_nb``. Columns in ``spread`` hold at most one distinct value per group,
+    which all its rows get. A value left by the minutes before is in ``_carry_<column>``.
     """
-    keys = ["_key"]
+    keys = list(keys)
     minute = [*keys, "_slice"]
     some = " OR ".join(f"{c} IS NOT NULL" for c in (*columns, *spread))
-    keyed = rows.withColumn("_key", group_key(by))
-    valued = keyed.where(some).select(*minute, "_us", "event_seq_nb", *columns, *spread)
+    valued = values.where(some)
     at = [F.expr(f"max(IF({c} IS NOT NULL, struct(event_seq_nb, {c}), NULL)).{c} AS {c}") for c in columns]
     instants = valued.groupBy(*minute, "_us").agg(*at, *[F.max(c).alias(c) for c in spread])
     own = so_far(keys)
@@ -107,10 +109,9 @@ def value_index(
         *[F.last(c, ignorenulls=True).over(own).alias(c) for c in columns], *[F.max(c).over(own).alias(c) for c in spread]
     )
     found = pages(instants, keys, value)
-    # Rows without a value only mark their minute.
-    marks = keyed.where(f"NOT ({some})").select(*minute).distinct()
-    ends = found.where("_to IS NULL").select(*minute, "_end").unionByName(marks, allowMissingColumns=True)
-    ends = ends.repartition("_key").groupBy(*minute).agg(F.max("_end").alias("_end"))
+    asked = marks.select(*minute).distinct()
+    ends = found.where("_to IS NULL").select(*minute, "_end").unionByName(asked, allowMissingColumns=True)
+    ends = ends.repartition(*keys).groupBy(*minute).agg(F.max("_end").alias("_end"))
     in_order = Window.partitionBy(*keys).orderBy("_slice")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

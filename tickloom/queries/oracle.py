@@ -369,6 +369,9 @@ FROM tr""",
         "asof_last_trade_strict": _asof(">"),
         "asof_bucketed": _asof(">=", HOURLY),
         "asof_by_instant": _asof(">", HOURLY),
+        "asof_bucketed_tables": _asof(">=").replace("t.trade_dt >= q.trade_dt - 1", "t.trade_dt = q.trade_dt"),
+        "symbol_filter_stored": _with() + " SELECT * FROM tr WHERE stock_symbol = 'S7'",
+        "write_once": _with() + " SELECT * FROM qu WHERE day(trade_dt) <= 10",
         "run_audit": _with(FEEDS)
         + """
 SELECT trade_dt, exchange, "partition", _reason AS reason, count(*) AS row_count,

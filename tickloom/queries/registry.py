@@ -112,6 +112,26 @@ def symbol_filter(spark, sf_dir):
     return close.instrument_rows(feed.trades(spark, sf_dir), "S7")
 
 
+def symbol_filter_stored(spark, sf_dir):
+    """From files in order of symbol: the filter reaches the row groups."""
+    root = tables.scratch_path(spark, "symbol_filter_stored")
+    rows = feed.trades(spark, sf_dir)
+    tables.write_clustered(rows, root)
+    return close.instrument_rows(spark.read.parquet(root).select(*rows.columns), "S7")
+
+
+def write_once(spark, sf_dir):
+    """The first ten days of a month are stored; storing all days is then refused as a whole."""
+    root = tables.scratch_path(spark, "write_once")
+    rows = feed.quotes(spark, sf_dir)
+    tables.write_once(rows.where(F.dayofmonth("trade_dt") <= 10), root)
+    try:
+        tables.write_once(rows, root)
+    except FileExistsError:
+        return spark.read.parquet(root).select(*rows.columns)
+    raise AssertionError("dates were written twice")
+
+
 def roundtrip_partitioned(spark, sf_dir):
     root = _events_table(spark, sf_dir, "roundtrip_partitioned")
     return spark.read.parquet(root).select(*EVENT.names)
@@ -322,6 +342,16 @@ def asof_bucketed(spark, sf_dir):
     return asof.asof_last_trade(*_sides(spark, sf_dir, hourly=True))
 
 
+def asof_bucketed_tables(spark, sf_dir):
+    """From tables in the same buckets, without trades carried in."""
+    averaged = moving.moving_average(feed.trades(spark, sf_dir))
+    sides = [
+        tables.save_co_partitioned(rows, f"bucketed_{name}", f"latest_{name}", 8, tables.scratch_path(spark, f"bucketed-{name}"))
+        for name, rows in (("trade", averaged), ("quote", feed.quotes(spark, sf_dir)))
+    ]
+    return asof.asof_stored(*sides)
+
+
 def asof_by_instant(spark, sf_dir):
     """Under ties, strict: a quote does not see the trades of its own instant."""
     return asof.asof_last_trade(*_sides(spark, sf_dir, hourly=True), inclusive=False)
@@ -413,7 +443,8 @@ _ALL: Sequence[Query] = (
     asof_last_trade, asof_last_trade_strict, asof_bucketed, asof_by_instant, run_audit, latest_status,
     pipeline_end_to_end, flagship_tied, forward_fill_tied, last_value_range_tied, eod_trades_tied,
     eod_quotes_tied, eod_as_written_tied, prior_close_ranked_tied, prior_close_weekdays,
-    prior_close_calendar_weekdays, job_status, pipeline_two_batches, *VIEWS,
+    prior_close_calendar_weekdays, job_status, pipeline_two_batches, symbol_filter_stored, write_once,
+    asof_bucketed_tables, *VIEWS,
 )
 
 

@@ -14,6 +14,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.timeaxis import MINUTE, epoch_micros, slice_start
+from tickloom.schema import INSTRUMENT_DAY
+
 # Names the staging step owns.
 STAGING_NAMES = (
     "tmp_trade_moving_avg",
@@ -46,6 +49,75 @@ def write_by_date(df: DataFrame, root: str, date: str = "trade_dt") -> None:
     write_partitioned(df, root, [date])
 
 
+def partition_values(spark: SparkSession, root: str, by: str) -> set[str]:
+    """Values of the first partition column that have a folder below ``root``, as their folders spell them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return set()
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    return {n.removeprefix(f"{by}=") for n in names if n.startswith(f"{by}=")}
+
+
+def write_once(df: DataFrame, root: str, date: str = "trade_dt") -> None:
+    """Add new dates to a table; with a date that is already there nothing is written.
+
+    The dates of ``df``, one per calendar day, are compared with the folders before the
+    write, which raises ``FileExistsError`` and names them.
+    """
+    wanted = {str(r[0]) for r in df.select(F.col(date).cast("string")).distinct().collect()}
+    there = sorted(wanted & partition_values(df.sparkSession, root, date))
+    if there:
+        raise FileExistsError(f"{root} already holds {date} {', '.join(there)}")
+    df.hint("rebalance", F.col(date)).write.mode("append").partitionBy(date).parquet(root)
+
+
+# The order of rows within a written date.
+CLUSTER_ORDER = ("stock_symbol", "latest_trade", "latest_quote", "event_seq_nb")
+
+
+def write_clustered(
+    df: DataFrame, root: str, date: str = "trade_dt", order: Sequence[str] = CLUSTER_ORDER
+) -> None:
+    """Replace the dates in ``df``, each in order of symbol, time and sequence over its files.
+
+    Rows are dealt out by ranges of date and order, so a file holds a stretch of the
+    symbols and the statistics of its row groups rule out the others. A range may end
+    within a symbol: one with most of the rows is spread over several files.
+    """
+    by = [date, *[c for c in order if c in df.columns]]
+    (
+        df.repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(date)
+        .parquet(root)
+    )
+
+
+def save_co_partitioned(
+    df: DataFrame, name: str, time: str, buckets: int, path: str | None = None
+) -> DataFrame:
+    """Write a catalog table by ``day`` in buckets of date, instrument and ``minute``, and read it back.
+
+    ``day`` repeats the trade date, for pruning; ``minute`` is the start of the row's
+    minute in microseconds. Two tables with the same number of buckets join on date,
+    instrument and minute without a shuffle, and an instrument with most of the rows
+    is spread over the buckets by its minutes. Each bucket of a day is one file.
+    """
+    keys = [*INSTRUMENT_DAY, "minute"]
+    rows = df.withColumns(
+        {"minute": slice_start(epoch_micros(df, time), MINUTE), "day": F.col(INSTRUMENT_DAY[0])}
+    )
+    df.sparkSession.catalog.dropTempView(name)
+    writer = rows.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.partitionBy("day").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_partition(spark: SparkSession, root: str, partition: str) -> DataFrame:
     """One record type of the event table; the other types' files are not listed."""
     return spark.read.parquet(root).where(F.col("partition") == partition)
