@@ -2,6 +2,9 @@
 
 Each stage takes all rows that the stage before kept, and its result is written as
 Parquet and read again. All stages but the last return the columns of ``documents``.
+A null text goes in stage language, as does one without a letter; rows that repeat an id
+are handled as the stages' operators say; an empty table gives no rows; further columns
+are kept up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,8 +16,13 @@ from tickloom.llm import jaccard, langid, lines, packing, pii
 from tickloom.llm.queries import PII_KEY, table, tokenizer_files
 from tickloom.sources.tables import staged
 
-#: Documents whose language is hardly more likely than by chance go, as do those without a letter.
-LEAST_SCORE = 0.3
+#: A document stays if its language is likelier than by chance by this part of what is left to
+#: certainty, so the limit follows the number of languages; those without a letter go.
+MARGIN = 0.1
+#: Bytes of an Arrow batch between the JVM and Python. Texts are long: the default of 10,000 rows
+#: makes batches that several copies of fill an executor's memory.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +31,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not net.languages:
         return docs
     judged = langid.identify(docs, net)
-    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    chance = 1 / len(net.languages)
+    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= chance + MARGIN * (1 - chance))
     return judged.where(sure).select(*docs.columns)
 
 
@@ -55,12 +64,26 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _in_small_batches(stage):
+    """The stage, in a session that hands texts to Python in small batches unless it was given a size."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.sparkContext.getConf().get(BATCH) is None:
+            spark.conf.set(BATCH, str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("language", language),
-    ("line_dedup", line_dedup),
-    ("near_duplicates", near_duplicates),
-    ("private_data", private_data),
-    ("packing", pack),
+    (name, _in_small_batches(stage))
+    for name, stage in (
+        ("language", language),
+        ("line_dedup", line_dedup),
+        ("near_duplicates", near_duplicates),
+        ("private_data", private_data),
+        ("packing", pack),
+    )
 ]
 
 #: The stages that learn, hash or tokenize have no SQL form; tests compare with brute force.
