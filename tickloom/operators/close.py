@@ -45,24 +45,34 @@ def prior_day_close(
     calendar: str = "calendar",
     dates: DataFrame | None = None,
     values: Sequence[str] = ("trade_pr",),
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Per date and instrument the last trade of the prior day, under the later date.
 
     ``calendar``: the prior day is the day before. ``trading``: it is the latest
     earlier date with any trade; ``dates`` is then a frame whose ``trade_dt``
-    values need a close (the trades' own dates by default).
+    values need a close (the trades' own dates by default). ``days`` gives the prior
+    date of each date instead, as ``trade_dt`` and ``prior_dt``.
     """
     last = last_trades(trades, values=values)
+    if days is not None:
+        return _under_later(last, days)
     if calendar == "calendar":
         return last.withColumn("trade_dt", next_date(F.col("trade_dt")))
     if calendar != "trading":
         raise ValueError(f"unknown calendar {calendar!r}")
     traded = trades.select("trade_dt").distinct()
     wanted = traded if dates is None else dates.select("trade_dt").distinct()
-    prior = next_dates(wanted, traded).withColumnRenamed("trade_dt", "_target")
+    prior = next_dates(wanted, traded)
+    return _under_later(last, prior)
+
+
+def _under_later(last: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of each prior date under the date it is prior to."""
     # One row per calendar day: small whatever the number of trades.
+    targets = days.select(F.col("trade_dt").alias("_target"), "prior_dt")
     return (
-        last.join(F.broadcast(prior), F.col("trade_dt") == F.col("prior_dt"))
+        last.join(F.broadcast(targets), F.col("trade_dt") == F.col("prior_dt"))
         .withColumn("trade_dt", F.col("_target"))
         .drop("_target", "prior_dt")
     )

@@ -15,22 +15,27 @@ from tickloom.schema import ENRICHED, QUOTE_TYPE, SYMBOL_DAY
 
 
 def carried_trades(
-    averaged: DataFrame, quotes: DataFrame, calendar: str = "calendar"
+    averaged: DataFrame, quotes: DataFrame, calendar: str = "calendar", days: DataFrame | None = None
 ) -> DataFrame:
     """The last trade of the prior day of each quote date, with its average."""
-    dates = quotes.select("trade_dt") if calendar == "trading" else None
-    return prior_day_close(averaged, calendar, dates, ("trade_pr", "mov_avg_pr"))
+    dates = quotes.select("trade_dt") if calendar == "trading" and days is None else None
+    return prior_day_close(averaged, calendar, dates, ("trade_pr", "mov_avg_pr"), days)
 
 
 def enrich_averaged(
-    averaged: DataFrame, quotes: DataFrame, inclusive: bool = True, calendar: str = "calendar"
+    averaged: DataFrame,
+    quotes: DataFrame,
+    inclusive: bool = True,
+    calendar: str = "calendar",
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Enriched quotes from trades that already have ``mov_avg_pr``.
 
-    The prior close travels with the carried-in trade through the minutes the
+    ``days`` may name the prior date of each date, where the trades given are not all
+    there are. The prior close travels with the carried-in trade through the minutes the
     as-of fill needs anyway, so attaching it costs no join.
     """
-    seeds = carried_trades(averaged, quotes, calendar)
+    seeds = carried_trades(averaged, quotes, calendar, days)
     filled = asof_last_trade(averaged, quotes, seeds, inclusive, "close_pr")
     return with_movement(filled).select(*ENRICHED.names)
 

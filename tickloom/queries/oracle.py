@@ -273,6 +273,19 @@ GROUP BY ALL"""
 TRADE_VIEW = "trade_dt, stock_symbol, stock_exchange, latest_trade, event_seq_nb, trade_pr"
 
 
+def _by_file() -> str:
+    """Damaged lines under the exchange and date of their file."""
+    case = {
+        exchange: "CASE fault " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in reasons.items()) + " END"
+        for exchange, reasons in (("NYSE", CSV_REASONS), ("NASDAQ", JSON_REASONS))
+    }
+    return f"""
+SELECT exchange, trade_dt,
+       CASE exchange WHEN 'NYSE' THEN {case["NYSE"]} ELSE {case["NASDAQ"]} END AS reason,
+       count(*) AS row_count
+FROM faulty WHERE fault >= 0 GROUP BY ALL"""
+
+
 def all_oracles() -> dict[str, str]:
     eod = " FROM corrected WHERE event_tm = best AND rec_type = "
     renamed = "trade_dt, rec_type, symbol AS stock_symbol, exchange AS stock_exchange, event_tm AS "
@@ -390,6 +403,23 @@ SELECT DISTINCT 'NYSE-success' AS job_id, TIMESTAMP '2024-07-01 01:00:00' AS upd
 FROM (SELECT trade_dt, count(*) FILTER (rec_type = 'T') AS n FROM base
       WHERE exchange = 'NYSE' GROUP BY ALL)
 WHERE n % 3 <> 0""",
+        "quarantine_by_file": _with(FAULTS) + _by_file(),
+        "files_seen": _with()
+        + """
+SELECT 'batch-0' AS batch_id, count(*) AS row_count,
+       count(*) FILTER (event_id % 50 < 2) AS rejected FROM base
+UNION ALL
+SELECT 'batch-1', count(*), count(*) FILTER (event_id % 50 < 2)
+FROM base WHERE event_id % 3 = 0 AND day(trade_dt) <= 10""",
+        "changed_instruments": _with()
+        + """
+SELECT DISTINCT trade_dt, symbol AS stock_symbol, exchange AS stock_exchange, rec_type AS kind
+FROM base WHERE event_id % 3 = 0 AND day(trade_dt) <= 10 AND event_id % 50 >= 2""",
+        "drop_staging": _with()
+        + """
+SELECT unnest(['prev_temp_last_trade', 'quote_union', 'quote_update', 'quotes', 'temp_last_trade',
+               'temp_trade_moving_avg', 'tmp_last_trade', 'tmp_trade_moving_avg']) AS name,
+       (SELECT count(*) > 0 FROM ev) AS filled, true AS dropped""",
         "flagship_tied": _with(_ma(), LAST_AT, SEEDS, base=HOURLY) + ENRICHED,
         "forward_fill_tied": _with(_ma(), SEEDS, TIMELINE, base=HOURLY) + FILL,
         "last_value_range_tied": _with(_ma(), LAST_AT, base=HOURLY)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,14 @@ from pyspark.sql import types as T
 from tickloom.functions.timeaxis import next_date, previous_date
 from tickloom.operators import asof, close, correct, enrich, moving, order
 from tickloom.plans import audit
-from tickloom.plans.pipeline import PipelineConfig, run_pipeline
+from tickloom.plans.pipeline import (
+    PipelineConfig,
+    load_raw,
+    read_changes,
+    read_quarantine,
+    read_totals,
+    run_pipeline,
+)
 from tickloom.plans.sql_surface import register_staging
 from tickloom.queries import feed
 from tickloom.schema import ENRICHED, EVENT
@@ -422,6 +430,57 @@ def pipeline_two_batches(spark, sf_dir):
     return spark.read.schema(ENRICHED).parquet(conf.table("enriched")).select(*ENRICHED.names)
 
 
+def _delivered(spark, sf_dir, name):
+    """All feeds as a first batch, then the first third of each month once more as a second one, with its later copies."""
+    rows = feed.base(spark, sf_dir)
+    root = tables.scratch_path(spark, f"{name}-out")
+    csv, json = _feed_globs(spark, rows, name)
+    late_csv, late_json = _feed_globs(spark, feed.resent(rows).where(F.dayofmonth("trade_dt") <= 10), f"{name}-late")
+    # A file that two globs match, and that two batches deliver, is landed once.
+    first = PipelineConfig(root, [csv, csv.replace("/*/*/", "/trade_dt=*/*/")], [json], "batch-0", preset="latest_arrival")
+    second = PipelineConfig(root, [csv, late_csv], [json, late_json], "batch-1", preset="latest_arrival")
+    return first, second
+
+
+def quarantine_by_file(spark, sf_dir):
+    """Rejected lines per exchange and date of the files they stand in."""
+    first, _ = _delivered(spark, sf_dir, "quarantine_by_file")
+    load_raw(spark, first)
+    part = lambda key: F.regexp_extract("_file", f"{key}=([^/]+)", 1)
+    bad = read_quarantine(spark, first)
+    return bad.groupBy(
+        part("exchange").alias("exchange"), part("trade_dt").cast("date").alias("trade_dt"), F.col("_reason").alias("reason")
+    ).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def files_seen(spark, sf_dir):
+    """Lines that each of two batches has landed; the second one delivers the first one's files again."""
+    batches = _delivered(spark, sf_dir, "files_seen")
+    for conf in batches:
+        load_raw(spark, conf)
+    return read_totals(spark, batches[0])
+
+
+def changed_instruments(spark, sf_dir):
+    """What the later copies of a second batch change, by date, instrument and record type."""
+    batches = _delivered(spark, sf_dir, "changed_instruments")
+    for conf in batches:
+        run_pipeline(spark, conf)
+    return read_changes(spark, conf).where(F.col("batch_id") == conf.batch_id).drop("batch_id")
+
+
+def drop_staging(spark, sf_dir):
+    """Names that are still in the catalog after the drop, beside those that were there before it."""
+    register_staging(feed.trades(spark, sf_dir), feed.quotes(spark, sf_dir))
+    names = F.array(*[F.lit(n) for n in sorted(tables.STAGING_NAMES)])
+    sizes = [spark.table(n).agg(F.lit(n).alias("name"), (F.count(F.lit(1)) > 0).alias("filled")) for n in tables.STAGING_NAMES]
+    before = tables.staged(reduce(DataFrame.unionByName, sizes), "drop_staging")
+    tables.drop_staging(spark)
+    left = [n for n in tables.STAGING_NAMES if spark.catalog.tableExists(n)]
+    gone = ~F.array_contains(F.array(*[F.lit(n) for n in left]).cast("array<string>"), F.col("name"))
+    return before.select("name", "filled", gone.alias("dropped")).where(F.array_contains(names, F.col("name")))
+
+
 VIEWS = tuple(
     _view(name)
     for name in (
@@ -444,7 +503,7 @@ _ALL: Sequence[Query] = (
     pipeline_end_to_end, flagship_tied, forward_fill_tied, last_value_range_tied, eod_trades_tied,
     eod_quotes_tied, eod_as_written_tied, prior_close_ranked_tied, prior_close_weekdays,
     prior_close_calendar_weekdays, job_status, pipeline_two_batches, symbol_filter_stored, write_once,
-    asof_bucketed_tables, *VIEWS,
+    asof_bucketed_tables, quarantine_by_file, files_seen, changed_instruments, drop_staging, *VIEWS,
 )
 
 

@@ -35,7 +35,9 @@ EVENT = _schema(
 
 QUARANTINE_FIELDS = _schema("_raw string, _reason string")
 
-LANDING = T.StructType([*EVENT.fields, *QUARANTINE_FIELDS.fields])
+PROVENANCE_FIELDS = _schema("_file string, _file_size bigint, _file_time timestamp")
+
+LANDING = T.StructType([*EVENT.fields, *QUARANTINE_FIELDS.fields, *PROVENANCE_FIELDS.fields])
 
 TRADE = _schema(
     "trade_dt date, rec_type string, stock_symbol string, stock_exchange string, "
@@ -71,3 +73,15 @@ AUDIT = _schema(
     "trade_dt date, exchange string, partition string, reason string, row_count bigint, "
     "batch_id string"
 )
+
+FILE_AUDIT = T.StructType([T.StructField("_file", T.StringType()), *AUDIT.fields])
+
+FILES = T.StructType([*PROVENANCE_FIELDS.fields, *_schema("path string, feed string, batch_id string").fields])
+
+TOTALS = _schema("row_count bigint, rejected bigint, batch_id string")
+
+CHANGED = _schema("trade_dt date, stock_symbol string, stock_exchange string, kind string, batch_id string")
+
+RUN_DATES = _schema("trade_dt date, step string, batch_id string, part string")
+
+SETTINGS = _schema("trade_dt date, settings string, updated_tm timestamp")

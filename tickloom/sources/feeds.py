@@ -7,6 +7,7 @@ fails the job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,10 +56,40 @@ JSON_QUOTE_KEYS = ("bid_pr", "bid_size", "ask_pr", "ask_size")
 JSON_NEVER_NULL = ("trade_dt", "event_tm", "file_tm")
 
 
-def read_lines(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
-    """All lines of all files matched, in one scan."""
+def read_lines(
+    spark: SparkSession, globs: str | Sequence[str], provenance: bool = False
+) -> DataFrame:
+    """All lines of all files matched, in one scan; with ``provenance`` the file each stands in."""
     paths = [globs] if isinstance(globs, str) else list(globs)
-    return spark.read.option("recursiveFileLookup", "true").text(paths).select("value")
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    origin = [F.col(f"_metadata.{field}").alias(name) for name, field in _ORIGIN.items()]
+    return lines.select("value", *(origin if provenance else []))
+
+
+# Where a line's provenance comes from.
+_ORIGIN = {
+    "_file": "file_path", "_file_size": "file_size", "_file_time": "file_modification_time",
+}
+
+
+def delivered_files(spark: SparkSession, globs: str | Sequence[str]) -> DataFrame:
+    """The files matched, each once however many globs match it; their content is not read.
+
+    ``path`` can be read; the other columns are those of the lines' provenance.
+    """
+    paths = [globs] if isinstance(globs, str) else list(globs)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    origin = [F.col(f"_metadata.{field}").alias(name) for name, field in _ORIGIN.items()]
+    return files.select("path", *origin).distinct()
+
+
+def exactly(path: str) -> str:
+    """A path as a glob that matches it alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _kept(lines: DataFrame) -> list[str]:
+    return [c for c in _ORIGIN if c in lines.columns]
 
 
 def _parsed_once(df: DataFrame) -> DataFrame:
@@ -98,18 +129,20 @@ def _events(parsed: DataFrame) -> DataFrame:
             value = F.when(owner.get(field.name, good), F.col(field.name))
         columns.append(value.cast(field.dataType).alias(field.name))
     raw = F.when(~good, F.col("_line")).alias("_raw")
-    return parsed.select(*columns, raw, "_reason")
+    return parsed.select(*columns, raw, "_reason", *_kept(parsed))
 
 
 def parse_csv_feed(lines: DataFrame, value: str = "value") -> DataFrame:
     """Comma-separated lines to events; fields beyond the last one used are ignored."""
-    fields = lines.select(F.col(value).alias("_line"), F.split(value, ",", -1).alias("_f"))
+    origin = _kept(lines)
+    fields = lines.select(F.col(value).alias("_line"), F.split(value, ",", -1).alias("_f"), *origin)
 
     def at(position: int) -> Column:
         return F.get("_f", F.lit(position))
 
     typed = fields.select(
         "_line",
+        *origin,
         F.size("_f").alias("_n"),
         at(CSV_REC_TYPE).alias("rec_type"),
         P.parse_date(at(CSV_TRADE_DT)).alias("trade_dt"),
@@ -153,12 +186,14 @@ def parse_json_feed(lines: DataFrame, value: str = "value") -> DataFrame:
     options = {"allowSingleQuotes": "false"}
     fields = ", ".join(f"{name}: {kind}" for name, kind in JSON_FIELDS.items())
     items = F.from_json(wrapped, f"array<struct<{fields}>>", options)
-    read = lines.select(F.col(value).alias("_line"), items.alias("_items")).select(
-        "_line", F.when(F.size("_items") == 1, F.get("_items", F.lit(0))).alias("_j")
+    origin = _kept(lines)
+    read = lines.select(F.col(value).alias("_line"), items.alias("_items"), *origin).select(
+        "_line", *origin, F.when(F.size("_items") == 1, F.get("_items", F.lit(0))).alias("_j")
     )
     j = {name: F.col("_j").getField(name) for name in JSON_FIELDS}
     typed = read.select(
         "_line",
+        *origin,
         j["event_type"].alias("rec_type"),
         P.parse_date(j["trade_dt"]).alias("trade_dt"),
         j["symbol"].alias("symbol"),
@@ -209,13 +244,17 @@ def ingest(
     spark: SparkSession,
     csv_globs: str | Sequence[str] = (),
     json_globs: str | Sequence[str] = (),
+    provenance: bool = False,
 ) -> DataFrame:
-    """All feeds of all dates as one table: the event columns, ``_raw`` and ``_reason``."""
+    """All feeds of all dates as one table: the event columns, ``_raw`` and ``_reason``.
+
+    With ``provenance`` also the file of each line, its size and its time.
+    """
     parts = []
     if csv_globs:
-        parts.append(parse_csv_feed(read_lines(spark, csv_globs)))
+        parts.append(parse_csv_feed(read_lines(spark, csv_globs, provenance)))
     if json_globs:
-        parts.append(parse_json_feed(read_lines(spark, json_globs)))
+        parts.append(parse_json_feed(read_lines(spark, json_globs, provenance)))
     if not parts:
         raise ValueError("no feed given")
     return union_feeds(*parts)
