@@ -14,7 +14,7 @@ WRITING = (
     "scan_trade_date", "roundtrip_partitioned", "roundtrip_by_date", "roundtrip_enriched",
     "staging_table", "latest_status", "job_status", "pipeline_end_to_end", "pipeline_two_batches",
     "symbol_filter_stored", "write_once", "asof_bucketed_tables", "quarantine_by_file", "files_seen",
-    "changed_instruments", "drop_staging",
+    "changed_instruments", "drop_staging", "latest_status_compacted", "batch_id",
 )
 
 

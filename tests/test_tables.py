@@ -120,3 +120,23 @@ def test_unknown_status_job(spark, tmp_path):
     assert not (tmp_path / "log").exists()
     audit.append_status(spark, root, "1", "etl", "running", [DAY1])
     assert audit.job_status(spark.read.parquet(root), "9").count() == 0
+
+
+def test_a_log_of_many_appends_keeps_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit, "MOST_FILES", 5)
+    root = str(tmp_path / "log")
+    for i in range(40):
+        status = "success" if i % 3 else "failed"
+        audit.append_status(spark, root, str(i % 4), "etl", status, [DAY1, DAY2][: 1 + i % 2])
+        assert len(tables.data_files(spark, root)) <= 5
+    log = spark.read.parquet(root)
+    newest = {(r.job_name, r.trade_date): (r.job_id, r.status) for r in audit.latest_status(log).collect()}
+    assert newest == {("etl", DAY1): ("3", "failed"), ("etl", DAY2): ("3", "failed")}
+    assert {k: audit.job_status(log, k).first().status for k in "0123"} == {
+        "0": "failed", "1": "success", "2": "success", "3": "failed"}
+    assert log.count() <= 4 * 2 + 2 * 5
+
+
+def test_folding_an_empty_log(spark, tmp_path):
+    audit.compact_status(spark, str(tmp_path / "none"))
+    assert tables.data_files(spark, str(tmp_path / "none")) == []

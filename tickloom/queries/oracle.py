@@ -396,6 +396,19 @@ SELECT exchange AS job_name, trade_dt AS trade_date, TIMESTAMP '2024-07-01 01:00
        CASE WHEN n % 3 = 0 THEN 'failed' ELSE 'success' END AS status,
        exchange || CASE WHEN n % 3 = 0 THEN '-failed' ELSE '-success' END AS job_id
 FROM (SELECT exchange, trade_dt, count(*) FILTER (rec_type = 'T') AS n FROM base GROUP BY ALL)""",
+        "latest_status_compacted": _with()
+        + """
+SELECT exchange AS job_name, trade_dt AS trade_date, TIMESTAMP '2024-07-01 01:00:00' AS updated_tm,
+       CASE WHEN n % 3 = 0 THEN 'failed' ELSE 'success' END AS status,
+       exchange || CASE WHEN n % 3 = 0 THEN '-failed' ELSE '-success' END AS job_id
+FROM (SELECT exchange, trade_dt, count(*) FILTER (rec_type = 'T') AS n FROM base GROUP BY ALL)""",
+        "batch_id": _with(FAULTS)
+        + """
+SELECT batch_id, CASE WHEN fault < 0 THEN rec_type ELSE 'B' END AS "partition", count(*) AS row_count
+FROM (SELECT *, 'batch-0' AS batch_id FROM faulty
+      UNION ALL
+      SELECT *, 'batch-1' FROM faulty WHERE event_id % 3 = 0 AND day(trade_dt) <= 10)
+GROUP BY ALL""",
         "job_status": _with()
         + """
 SELECT DISTINCT 'NYSE-success' AS job_id, TIMESTAMP '2024-07-01 01:00:00' AS updated_tm,

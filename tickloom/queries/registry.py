@@ -406,6 +406,24 @@ def job_status(spark, sf_dir):
     return audit.job_status(log, "NYSE-success")
 
 
+def latest_status_compacted(spark, sf_dir):
+    """From a log that was folded after every few of its appends."""
+    most, audit.MOST_FILES = audit.MOST_FILES, 2
+    try:
+        return audit.latest_status(_status_log(spark, sf_dir, "latest_status_compacted"))
+    finally:
+        audit.MOST_FILES = most
+
+
+def batch_id(spark, sf_dir):
+    """Every landed line carries the batch that the caller has named."""
+    first, second = _delivered(spark, sf_dir, "batch_id")
+    for conf in (first, second):
+        load_raw(spark, conf)
+    landed = spark.read.parquet(first.table("landing"))
+    return landed.groupBy("batch_id", "partition").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def latest_status(spark, sf_dir):
     return audit.latest_status(_status_log(spark, sf_dir, "latest_status"))
 
@@ -503,7 +521,8 @@ _ALL: Sequence[Query] = (
     pipeline_end_to_end, flagship_tied, forward_fill_tied, last_value_range_tied, eod_trades_tied,
     eod_quotes_tied, eod_as_written_tied, prior_close_ranked_tied, prior_close_weekdays,
     prior_close_calendar_weekdays, job_status, pipeline_two_batches, symbol_filter_stored, write_once,
-    asof_bucketed_tables, quarantine_by_file, files_seen, changed_instruments, drop_staging, *VIEWS,
+    asof_bucketed_tables, quarantine_by_file, files_seen, changed_instruments, drop_staging,
+    latest_status_compacted, batch_id, *VIEWS,
 )
 
 

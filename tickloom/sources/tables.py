@@ -59,6 +59,22 @@ def partition_values(spark: SparkSession, root: str, by: str) -> set[str]:
     return {n.removeprefix(f"{by}=") for n in names if n.startswith(f"{by}=")}
 
 
+def data_files(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the files directly below ``root`` that Spark would read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [s.getPath() for s in files.listStatus(path) if s.isFile()]
+    return sorted(p.toString() for p in found if p.getName()[0] not in "_.")
+
+
+def delete_files(spark: SparkSession, paths: Sequence[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def write_once(df: DataFrame, root: str, date: str = "trade_dt") -> None:
     """Add new dates to a table; with a date that is already there nothing is written.
 
