@@ -5,6 +5,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from tickloom.llm.queries import table
+from tickloom.sources.tables import staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def test_copies_go_whole(spark, monkeypatch):
     copies = several.withColumn("doc_id", F.col("doc_id") + 1_000_000)
     near = several.withColumn("doc_id", F.col("doc_id") + 2_000_000).withColumn(
         "text", F.concat(F.col("text"), F.lit("\nwhat only this copy says "), F.col("doc_id").cast("string")))
-    planted = docs.unionByName(copies).unionByName(near.select(docs.columns)).localCheckpoint()
+    planted = staged(docs.unionByName(copies).unionByName(near.select(docs.columns)), "planted")
     monkeypatch.setattr(corpus_pipeline, "table", lambda *_: planted)
     rows = corpus_pipeline.run(spark, SF).select("doc_id", "doc_tokens").distinct().collect()
     tokens = {r.doc_id: r.doc_tokens for r in rows}
