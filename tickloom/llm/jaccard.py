@@ -279,11 +279,13 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
         F.array().cast("array<bigint>")
     )
     pair = lambda kind, i, j: F.struct(F.lit(kind).cast("long").alias("kind"), i.alias("i"), j.alias("j"))
-    # Kind 0: two lesser blocks; kind 1: a lesser block and one of the rest.
+    # Kind 0: two lesser blocks; kind 1: a lesser block and one of the rest; kind 2: a list of no more than these two.
     few = F.transform(upto("_few"), lambda k: pair(0, F.least(k, F.col("_own")), F.greatest(k, F.col("_own"))))
     across = F.transform(upto("_rest"), lambda k: pair(1, F.col("_own"), k))
     back = F.transform(upto("_few"), lambda k: pair(1, k, F.col("_own")))
-    tags = F.explode(F.when(F.col("_lesser"), F.concat(few, across)).otherwise(back))
+    both = F.array(pair(2, F.lit(0).cast("long"), F.lit(0).cast("long")))
+    short = (F.col("_few") <= 1) & (F.col("_rest") <= 1)
+    tags = F.explode(F.when(short, both).when(F.col("_lesser"), F.concat(few, across)).otherwise(back))
     dealt = dealt.withColumn("_own", own).withColumn("_tag", tags).select(
         "key", F.col("_tag.kind").alias("_kind"), F.col("_tag.i").alias("_i"), F.col("_tag.j").alias("_j"), "_own", "_lesser",
         "rep", "n", "root", "sketch",
@@ -296,11 +298,10 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
         words = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(rep), -1)
         found = [np.zeros((2, 0), np.int64)]
         kind, i, j = (rows.column(c)[0].as_py() for c in ("_kind", "_i", "_j"))
-        if kind:
-            low = rows.column("_lesser").to_numpy()
-        else:
-            low = rows.column("_own").to_numpy() == i
-        sides = [(low, low if not kind and i == j else ~low)]
+        lesser = rows.column("_lesser").to_numpy()
+        own = rows.column("_own").to_numpy() == i
+        every = np.ones(len(rep), bool)
+        sides = {0: [(own, own if i == j else ~own)], 1: [(lesser, ~lesser)], 2: [(lesser, every)]}[kind]
         for left, right in sides:
             left, right = np.flatnonzero(left), np.flatnonzero(right)
             for at in range(0, len(left), 256):
