@@ -199,9 +199,14 @@ def batch_dates(spark: SparkSession, conf: PipelineConfig) -> list[dt.date]:
     return _days(counts.where(F.col("batch_id") == conf.batch_id))
 
 
-def landed_dates(spark: SparkSession, conf: PipelineConfig, rec_type: str) -> list[dt.date]:
-    """Dates for which any batch has accepted rows of the type; correction keeps some of each."""
-    return _days(_found(spark, conf.table("audit"), AUDIT).where(F.col("partition") == rec_type))
+def landed_dates(spark: SparkSession, conf: PipelineConfig) -> dict[str, list[dt.date]]:
+    """By record type the dates for which any batch has accepted rows; correction keeps some of each."""
+    counts = _found(spark, conf.table("audit"), AUDIT).where(F.col("trade_dt").isNotNull())
+    found: dict[str, list[dt.date]] = {TRADE_TYPE: [], QUOTE_TYPE: []}
+    rows = counts.where(F.col("partition").isin(*found)).select("partition", "trade_dt").distinct()
+    for row in rows.orderBy("trade_dt").collect():  # two rows per calendar day at most
+        found[row["partition"]].append(row["trade_dt"])
+    return found
 
 
 def landed_events(spark: SparkSession, conf: PipelineConfig, rec_type: str, dates: DataFrame) -> DataFrame:
@@ -226,11 +231,16 @@ def replace_dates(
 
 
 def load_eod(
-    spark: SparkSession, conf: PipelineConfig, rec_type: str, dates: Sequence[dt.date], wanted: DataFrame
+    spark: SparkSession,
+    conf: PipelineConfig,
+    rec_type: str,
+    dates: Sequence[dt.date],
+    wanted: DataFrame,
+    filled: Sequence[dt.date],
 ) -> None:
     """Corrected rows of the type replace those of ``dates``; the instruments that differ are recorded.
 
-    ``wanted`` has the dates as a table.
+    ``wanted`` has the dates as a table, ``filled`` those that have rows of the type.
     """
     name, schema, load = {
         TRADE_TYPE: ("trade", TRADE, load_trades), QUOTE_TYPE: ("quote", QUOTE, load_quotes),
@@ -238,7 +248,6 @@ def load_eod(
     before = digests(on_dates(_found(spark, conf.table(name), schema), wanted))
     before = staged(before, f"{name}-before")
     rows = load(landed_events(spark, conf, rec_type, wanted), conf.preset)
-    filled = landed_dates(spark, conf, rec_type)
     replace_dates(rows, conf.table(name), dates, filled)
     after = digests(on_dates(_read(spark, conf.table(name), schema), wanted))
     differing(before, after).write.mode("overwrite").parquet(f"{conf.batch('changes')}/kind={rec_type}")
@@ -266,7 +275,12 @@ def settled_dates(spark: SparkSession, conf: PipelineConfig) -> set[dt.date]:
 
 
 def stage_averages(
-    spark: SparkSession, conf: PipelineConfig, dates: Sequence[dt.date], wanted: DataFrame, fresh: DataFrame
+    spark: SparkSession,
+    conf: PipelineConfig,
+    dates: Sequence[dt.date],
+    wanted: DataFrame,
+    fresh: DataFrame,
+    filled: Sequence[dt.date],
 ) -> None:
     """Moving averages of the run's dates, written because later steps and runs read them.
 
@@ -280,7 +294,6 @@ def stage_averages(
     again = moving_average(_of_symbols(trades, todo, "left_semi"), conf.minutes)
     # The files that are copied go when all new ones are there: a dynamic overwrite commits them together.
     rows = again.unionByName(_of_symbols(stored, todo, "left_anti"))
-    filled = landed_dates(spark, conf, TRADE_TYPE)
     replace_dates(rows, conf.table("trade_moving_avg"), dates, filled)
 
 
@@ -315,6 +328,7 @@ def analyze(
     spark: SparkSession,
     conf: PipelineConfig,
     dates: Sequence[dt.date],
+    landed: dict[str, list[dt.date]],
     settled: set[dt.date] = frozenset(),
     traded_before: Sequence[dt.date] = (),
 ) -> list[dt.date]:
@@ -323,8 +337,7 @@ def analyze(
     Symbols whose quotes, trades or prior close have changed are enriched again. The
     others are copied, unless the date has another prior date now or is not ``settled``.
     """
-    traded = landed_dates(spark, conf, TRADE_TYPE)
-    quoted = landed_dates(spark, conf, QUOTE_TYPE)
+    traded, quoted = landed[TRADE_TYPE], landed[QUOTE_TYPE]
     wanted = affected_dates(dates, traded, quoted, conf.calendar)
     prior = {day: prior_date(day, traded, conf.calendar) for day in wanted}
     moved = [d for d in wanted if d not in settled or prior_date(d, traded_before, conf.calendar) != prior[d]]
@@ -332,7 +345,7 @@ def analyze(
         "average": dates, "average-fresh": [d for d in dates if d not in settled],
         "enrich": wanted, "enrich-seen": sorted({*wanted, *prior.values()} - {None}), "enrich-fresh": moved,
     })
-    stage_averages(spark, conf, dates, averages, unsettled)
+    stage_averages(spark, conf, dates, averages, unsettled, traded)
     quotes = on_dates(_read(spark, conf.table("quote"), QUOTE), targets)
     averaged = on_dates(_read(spark, conf.table("trade_moving_avg"), AVERAGED_TRADE), seen)
     changes = _own_changes(spark, conf)
@@ -367,19 +380,19 @@ def run_pipeline(spark: SparkSession, conf: PipelineConfig) -> DataFrame:
     started = False
     try:
         before = batch_dates(spark, conf)
-        traded = landed_dates(spark, conf, TRADE_TYPE)
+        traded = landed_dates(spark, conf)[TRADE_TYPE]
         again = load_raw(spark, conf)
         dates = dates or sorted({*before, *again, *batch_dates(spark, conf)})
         audit.append_status(spark, log, conf.batch_id, JOB_NAME, audit.RUNNING, dates)
         started = True
         settled = settled_dates(spark, conf)
-        sides = [landed_dates(spark, conf, kind) for kind in (TRADE_TYPE, QUOTE_TYPE)]
+        landed = landed_dates(spark, conf)
         # Until they are enriched again these dates are of no use to a later run.
-        record_settings(spark, conf, affected_dates(dates, *sides, conf.calendar), "")
+        record_settings(spark, conf, affected_dates(dates, landed[TRADE_TYPE], landed[QUOTE_TYPE], conf.calendar), "")
         (wanted,) = wanted_dates(spark, conf, "correction", {"correct": dates})
-        load_eod(spark, conf, TRADE_TYPE, dates, wanted)
-        load_eod(spark, conf, QUOTE_TYPE, dates, wanted)
-        enriched = analyze(spark, conf, dates, settled, traded)
+        load_eod(spark, conf, TRADE_TYPE, dates, wanted, landed[TRADE_TYPE])
+        load_eod(spark, conf, QUOTE_TYPE, dates, wanted, landed[QUOTE_TYPE])
+        enriched = analyze(spark, conf, dates, landed, settled, traded)
     except Exception:
         # Without any date known the failure is filed under the day of the run.
         known = dates if started or dates else [dt.datetime.now(dt.timezone.utc).date()]
