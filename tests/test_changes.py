@@ -7,19 +7,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import DAY1, DAY2, DAY4, quote, quotes, trade, trades
-from tickloom.plans import changes
+from tickloom.plans import audit, changes
 from tickloom.plans.pipeline import (
     PipelineConfig,
     landed_events,
     load_raw,
     read_changes,
     read_totals,
+    record_settings,
     run_pipeline,
     settled_dates,
     wanted_dates,
 )
 from tickloom.schema import ENRICHED
-from tickloom.sources import feeds
+from tickloom.sources import feeds, tables
 
 TRADE = "{day},{day} {arrive}.0,T,{symbol},{day} {time}.0,{seq},{exchange},{price}"
 QUOTE = "{day},{day} {arrive}.0,Q,{symbol},{day} {time}.0,{seq},{exchange},{price},10,{price}9,20"
@@ -124,5 +125,15 @@ def test_the_write_counts_in_one_pass(spark, tmp_path):
     conf = PipelineConfig(str(tmp_path / "out"), csv_globs=[glob], batch_id="1")
     load_raw(spark, conf)
     assert read_totals(spark, conf).first()[:2] == (22, 2)
-    audit = spark.read.parquet(conf.table("audit")).agg(F.sum("row_count")).first()[0]
-    assert audit == 22
+    counted = spark.read.parquet(conf.table("audit")).agg(F.sum("row_count")).first()[0]
+    assert counted == 22
+
+
+def test_settings_keep_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit, "MOST_FILES", 3)
+    conf = PipelineConfig(str(tmp_path / "out"), batch_id="1")
+    for i in range(9):
+        record_settings(spark, conf, [DAY1, DAY2], conf.settings() if i % 2 else "")
+        record_settings(spark, conf, [DAY4], conf.settings())
+        assert len(tables.data_files(spark, conf.table("settings"))) <= 3
+        assert settled_dates(spark, conf) == ({DAY1, DAY2, DAY4} if i % 2 else {DAY4})

@@ -40,7 +40,7 @@ from tickloom.schema import (
     TRADE_TYPE,
 )
 from tickloom.sources.feeds import BAD_TYPE, delivered_files, exactly, ingest
-from tickloom.sources.tables import staged, write_by_date
+from tickloom.sources.tables import data_files, delete_files, staged, write_by_date
 
 JOB_NAME = "analytical_etl"
 
@@ -321,7 +321,14 @@ def record_settings(spark: SparkSession, conf: PipelineConfig, dates: Sequence[d
     """Log what ``dates`` are enriched with; an empty text while that is under way."""
     now = dt.datetime.now(dt.timezone.utc)
     rows = spark.createDataFrame([(d, settings, now) for d in dates], SETTINGS)
-    rows.coalesce(1).write.mode("append").parquet(conf.table("settings"))
+    root = conf.table("settings")
+    rows.coalesce(1).write.mode("append").parquet(root)
+    old = data_files(spark, root)
+    if len(old) > audit.MOST_FILES:  # as the status log is folded
+        log = spark.read.schema(SETTINGS).parquet(*old)
+        newest = audit.latest_status(log, ("trade_dt",), values=("settings",)).select(*SETTINGS.names)
+        newest.coalesce(1).write.mode("append").parquet(root)
+        delete_files(spark, old)
 
 
 def analyze(
