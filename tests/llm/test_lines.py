@@ -1,4 +1,5 @@
 from collections import Counter
+from pathlib import Path
 
 from tickloom.llm import lines
 from tickloom.llm.queries import op6_line_dedup, table
@@ -140,6 +141,17 @@ def test_a_passage_is_cut_alike_wherever_it_stands(spark):
     assert len({r._hash for r in own if r._id == 0} & {r._hash for r in own if r._id == 3}) >= 28
 
 
+def test_written_texts_of_chunks_are_deleted(spark):
+    kept = Path(spark.conf.get("spark.checkpoint.dir"))
+    passage = "\n".join(f"line {i} of the shared passage" for i in range(14))
+    texts = [(k, f"start {k}\n{passage}\nend {k}") for k in range(6)]
+    before = set(kept.glob("*"))
+    got = lines.dedup_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {p.name.rsplit("-", 1)[0] for p in set(kept.glob("*")) - before} == {"lines-spans"}
+    assert result(got) == result(got) == brute(spark, texts)
+    assert sum(r.lines_removed for r in got.collect()) == 5 * 14
+
+
 def test_no_python_in_the_plan(spark):
     plan = op6_line_dedup(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +96,21 @@ class Session:
         return self.settings.get("set.dir")
 
 
+def test_a_scratch_folder_goes_after_its_block(spark):
+    kept = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(kept.glob("*"))
+    with tables.scratch_folder(spark, "block") as folder:
+        assert tables.staged(spark.range(3), "within", folder).count() == 3
+        beside = tables.staged(spark.range(5), "beside")
+        assert {p.name.split("-")[0] for p in set(kept.glob("*")) - before} == {"block", "beside"}
+    assert [p.name.split("-")[0] for p in set(kept.glob("*")) - before] == ["beside"]
+    assert beside.count() == 5
+    with pytest.raises(ZeroDivisionError), tables.scratch_folder(spark, "block") as folder:
+        tables.staged(spark.range(3), "within", folder)
+        raise ZeroDivisionError
+    assert [p.name.split("-")[0] for p in set(kept.glob("*")) - before] == ["beside"]
+
+
 def test_scratch_without_a_shared_folder():
     for master in ("local[2]", "yarn"):
         with pytest.raises(ValueError):

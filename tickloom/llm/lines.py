@@ -17,7 +17,8 @@ place is a boundary in both documents.
 
 Counting and the search for the first one are aggregates that are merged within tasks
 and written; a chunk that a third of all documents share meets other rows only in joins
-with what was written, whose partitions Spark can split.
+with what was written, whose partitions Spark can split. The written chunks and their
+first places, with their texts, are deleted once the lines to remove are written.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import fields
-from tickloom.sources.tables import staged
+from tickloom.sources.tables import scratch_folder, staged
 
 #: Fewest characters of a chunk's two lines, without space around them: lone brackets are no chunk.
 LEAST = 24
@@ -124,14 +125,22 @@ def _variants(c: Column) -> Column:
 
 
 def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_id and _spans (struct s, e; disjoint, in order) of the lines to remove, one row per document that has any."""
+    """_id and _spans (struct s, e; disjoint, in order) of the lines to remove, one row per document that has any.
+
+    The rows are written; what was written on the way is deleted.
+    """
+    with scratch_folder(docs.sparkSession, "lines") as folder:
+        return staged(_repeated(docs, id_col, text_col, folder), "lines-spans")
+
+
+def _repeated(docs: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
     found = chunks(docs, id_col, text_col)
     at = _place()
     counts = found.groupBy("_hash").agg(
         F.count(F.lit(1)).alias("_n"), F.min(at).alias("_first"),
         F.min_by("_prev", at).alias("_first_prev"), F.min_by("_next", at).alias("_first_next"),
     )
-    twice = staged(counts.where(F.col("_n") > 1).drop("_n"), "lines-repeated")
+    twice = staged(counts.where(F.col("_n") > 1).drop("_n"), "repeated", folder)
     # The first chunk of a hash takes part in the comparison, but is never removed.
     later = at != F.col("_first")
     wanted = found.join(twice, "_hash").select(
@@ -148,9 +157,9 @@ def repeated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     own = texts.select("_id", F.explode(cut).alias("c")).select(
         "_id", F.col("c.s").alias("_start"), F.col("c.e").alias("_end"), F.col("c.t").alias("_chunk"), "c.later"
     )
-    own = staged(own, "lines-chunks")
+    own = staged(own, "chunks", folder)
     firsts = own.groupBy("_chunk").agg(F.min(_place()).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    firsts = staged(firsts.where(F.col("_n") > 1).drop("_n"), "lines-first")
+    firsts = staged(firsts.where(F.col("_n") > 1).drop("_n"), "first", folder)
     # A chunk that overlaps the first one of its own text stays with it.
     gone = own.where("later").join(firsts, "_chunk").where(
         _place() - F.col("_first") > F.col("_end") - F.col("_start")

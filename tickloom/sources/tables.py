@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -181,12 +182,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to a new scratch folder and read it back.
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new scratch folder that is deleted after the block, with all tables in it.
+
+    For tables that only the block reads: what it returns must be written elsewhere.
+    """
+    root = scratch_path(spark, name)
+    try:
+        yield root
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write a frame to a new scratch folder, or below ``folder``, and read it back.
 
     For a frame several branches read: it is computed once, and the loss of an
     executor does not compute it again.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name) if folder is None else f"{folder}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
