@@ -22,7 +22,7 @@ MARGIN = 0.1
 #: Bytes of an Arrow batch between the JVM and Python. Texts are long: the default of 10,000 rows
 #: makes batches that several copies of fill an executor's memory.
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 512 << 10
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
