@@ -174,3 +174,53 @@ def test_blocks_of_the_main_component_do_not_meet(spark, monkeypatch):
     plan = jaccard.compare_lists(listed, jaccard.Rule(5, 80, 100))
     dealt = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" in dealt
+
+
+def test_sets_are_gathered_for_likely_pairs_only(spark, monkeypatch):
+    """Texts that share a passage meet in lists by chance; sketches rule those pairs out, of long texts too."""
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    passage = words(40)
+    texts = [words(n) + passage for n in [*[200, 210, 220] * 60, *[3000, 3100, 3200] * 6]]
+    texts += [edited(rng, texts[i], 0.01) for i in (0, 180)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    gathered, compared = [], []
+    sets_of, compare = jaccard._sets_of, jaccard.compare_lists
+
+    def recorded(docs, wanted, *rest):
+        gathered.extend(r[0] for r in wanted.collect())
+        return sets_of(docs, wanted, *rest)
+
+    def dealt(listed, *rest):
+        compared.append(listed.groupBy("key").count().agg({"count": "min"}).first()[0])
+        return compare(listed, *rest)
+
+    monkeypatch.setattr(jaccard, "_sets_of", recorded)
+    monkeypatch.setattr(jaccard, "compare_lists", dealt)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(jaccard.components(df, 4, 85, 100)) == brute(rows, 4, 85, 100)
+    assert sorted(set(gathered)) == [0, 180, 198, 199]
+    assert compared and compared[0] > 2
+
+
+def test_sketches_rule_out_no_link(spark):
+    """Pairs at and around the limit, of sizes whose sketches are of different width."""
+    rng = np.random.default_rng(6)
+    rule = jaccard.Rule(5, 80, 100)
+    own, pairs, linked = [], [], set()
+    for n in (5, 90, 1000, 1024, 1025, 2040, 2060, 5000):
+        base = rng.integers(0, 2**64, 2 * n, np.uint64)
+        for common, more in ((n, 0), (n, n // 4), (n, n // 4 + 1), (n - n // 9, n // 9), (n - n // 9 - 1, n // 9 + 1), (n // 2, n // 2)):
+            a, b = len(own), len(own) + 1
+            own += [np.sort(base[:n]), np.sort(np.r_[base[:common], base[n : n + more]])]
+            pairs.append((b, a))
+            if 100 * common >= 80 * (n + more):
+                linked.add((b, a))
+    ends = np.r_[0, np.cumsum([len(s) for s in own])]
+    narrow, wide = (f(np.concatenate(own), ends) for f in (jaccard.sketches, jaccard.wide_sketches))
+    assert [w is None for w in wide] == [len(s) <= jaccard.BITS for s in own]
+    reps = [(i, len(s), narrow[i].tobytes(), wide[i]) for i, s in enumerate(own)]
+    reps = spark.createDataFrame(reps, "rep long, n long, sketch binary, wide binary")
+    left = {(r.a, r.b) for r in jaccard.likely(spark.createDataFrame(pairs, "a long, b long"), reps, rule).collect()}
+    assert linked <= left
+    assert not left & {p for p in pairs[5::6] if len(own[p[1]]) > 50}

@@ -18,14 +18,18 @@ The boundary x is chosen by cost: the number of entries that either way makes fo
 sizes that occur.
 
 Lists are read in order as streams and give each member's pair with the list's first
-member; pairs are checked against the exact sets. Where a list still holds several
-components, the members outside the one that most belong to are compared with the
-rest. That happens within the task, block by block, on sketches: the parity of each
-of ``BITS`` bins of the set. A differing element flips one bit, so sets whose sketches
-differ in more bits than linked sets may differ in elements are no link; the pairs
-that remain are checked exactly. Thus copies never meet all of each other as rows,
-and no link between different components is missed. Documents with equal sets are one
-from the start.
+member. Where a list of more than two still holds several components, the members
+outside the one that most belong to are compared with the rest, within the task and
+block by block. Thus copies never meet all of each other as rows, and no link between
+different components is missed. Documents with equal sets are one from the start.
+
+Unrelated sets meet in a list by chance, when a passage that many texts share stands
+alone in a segment. Such pairs grow faster than the documents, so no set travels for
+them: pairs first meet on sketches, the parity of each of ``BITS`` bins of the set. A
+differing element flips one bit, so sets whose sketches differ in more bits than
+linked sets may differ in elements are no link. Sets of more than ``BITS`` elements
+have a wide sketch besides, with a bit or two for each element. What remains is
+checked against the exact sets.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.components import stars
 from tickloom.llm.shingles import Shingler, mix
-from tickloom.sources.tables import staged
+from tickloom.sources.tables import scratch_folder, staged
 
 #: The largest size for which subsets are considered.
 MOST_LIGHT = 48
@@ -160,17 +164,27 @@ def heavy_keys(rule: Rule, firsts: np.ndarray, sizes: np.ndarray, hashes: np.nda
 
 def sketches(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Rows of BITS / 8 bytes: whether an odd number of the set's elements falls into each bin."""
-    bins = (hashes & np.uint64(BITS - 1)).astype(np.int64)
     out = np.empty((len(ends) - 1, BITS // 8), np.uint8)
     for i in range(len(out)):
-        out[i] = np.packbits(np.bincount(bins[ends[i] : ends[i + 1]], minlength=BITS) & 1)
+        out[i] = _parity(hashes[ends[i] : ends[i + 1]], BITS)
     return out
 
 
+def _parity(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return np.packbits(np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1)
+
+
+def wide_sketches(hashes: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
+    """Sketches with the next power of two from the set's size on as bits; none for sets of up to ``BITS``."""
+    bits = [1 << (n - 1).bit_length() if n > BITS else 0 for n in np.diff(ends).tolist()]
+    return [_parity(hashes[ends[i] : ends[i + 1]], b).tobytes() if b else None for i, b in enumerate(bits)]
+
+
 def signatures(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n, two independent sums over the set, which stand for the set, and its sketch."""
+    """doc_id, n, two independent sums over the set, which stand for the set, and its sketches."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.binary())]
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())]
+        + [("sketch", pa.binary()), ("wide", pa.binary())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +196,11 @@ def signatures(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataF
                 columns = [ids.slice(at, len(ends) - 1), pa.array(np.diff(ends))]
                 columns += [pa.array(s.view(np.int64)) for s in sums]
                 columns.append(pa.array([row.tobytes() for row in sketches(hashes, ends)], pa.binary()))
+                columns.append(pa.array(wide_sketches(hashes, ends), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return rows.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, sketch binary, wide binary")
 
 
 def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -261,11 +276,45 @@ def _differ(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """The sketches with ``width`` bytes that the same sets have; a bin takes those that lie whole widths after it."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1)
+
+
+def likely(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow a link. ``reps`` has rep, n, sketch and wide."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    names = ("sketch_a", "sketch_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b = (batch.column(c).to_numpy() for c in ("a", "b", "n_a", "n_b"))
+            own = [batch.column(c).to_pylist() for c in names]
+            lengths = np.array([[len(x) for x in side] for side in own], np.int64).reshape(2, len(a))
+            keep = np.zeros(len(a), bool)
+            for both in np.unique(lengths, axis=1).T:
+                rows = np.flatnonzero((lengths == both[:, None]).all(axis=0))
+                left, right = (
+                    _folded(np.frombuffer(b"".join([side[i] for i in rows]), np.uint8).reshape(len(rows), n), both.min())
+                    for side, n in zip(own, both, strict=True)
+                )
+                differ = np.bitwise_count((left ^ right).view(np.uint64)).sum(axis=1, dtype=np.int64)
+                keep[rows] = (rule.den + rule.num) * differ <= (rule.den - rule.num) * (n_a[rows] + n_b[rows])
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], schema=schema)
+
+    side = lambda c: reps.select(
+        F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.coalesce("wide", "sketch").alias(f"sketch_{c}")
+    )
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(_compatible(rule, "n_a", "n_b"))
+    return both.select("a", "b", "n_a", "n_b", *names).mapInArrow(run, "a long, b long").distinct()
+
+
+def compare_lists(listed: DataFrame, rule: Rule, reps: DataFrame | None = None) -> DataFrame:
     """Pairs (a > b) of members of a list in different components whose sketches allow a link.
 
-    ``listed`` has key, rep, n, root, main (the root of most members) and sketch. The
-    lesser members, those of other roots, and the rest are cut into blocks of about
+    ``listed`` has key, rep, n, root, main (the root of most members) and sketch; with
+    ``reps``, a table of rep, n and sketch, those two are joined once the members are
+    dealt out, so they are shuffled once. The lesser members, those of other roots, and the rest are cut into blocks of about
     ``BLOCK``. Lesser blocks meet each other and the blocks of the rest, which do not
     meet among themselves: rows grow with lesser members times blocks, no task holds
     more than two blocks of a list, and a long list is shared by many.
@@ -288,10 +337,12 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
     tags = F.explode(F.when(short, both).when(F.col("_lesser"), F.concat(few, across)).otherwise(back))
     dealt = dealt.withColumn("_own", own).withColumn("_tag", tags).select(
         "key", F.col("_tag.kind").alias("_kind"), F.col("_tag.i").alias("_i"), F.col("_tag.j").alias("_j"), "_own", "_lesser",
-        "rep", "n", "root", "sketch",
+        "rep", "root", *(() if reps is not None else ("n", "sketch")),
     )
+    if reps is not None:
+        dealt = dealt.join(reps.select("rep", "n", "sketch"), "rep")
+    dealt = dealt.select("key", "_kind", "_i", "_j", "_own", "_lesser", "rep", "n", "root", "sketch")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    share = (rule.den - rule.num) / (rule.den + rule.num)
 
     def links(rows: pa.Table) -> pa.RecordBatch:
         rep, n, root = (rows.column(c).to_numpy() for c in ("rep", "n", "root"))
@@ -306,7 +357,7 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
             left, right = np.flatnonzero(left), np.flatnonzero(right)
             for at in range(0, len(left), 256):
                 a, b = left[at : at + 256], right
-                most = share * (n[a][:, None] + n[b][None, :])
+                most = (rule.den - rule.num) * (n[a][:, None] + n[b][None, :]) // (rule.den + rule.num)
                 fits = (_differ(words[a], words[b]) <= most) & (root[a][:, None] != root[b][None, :])
                 small, large = np.minimum(n[a][:, None], n[b][None, :]), np.maximum(n[a][:, None], n[b][None, :])
                 i, j = np.nonzero(fits & (rule.den * small >= rule.num * large))
@@ -336,8 +387,8 @@ def compare_lists(listed: DataFrame, rule: Rule) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and the sorted set of the wanted documents."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """doc_id and the sorted set of the wanted documents, written below ``folder``."""
     schema = pa.schema([("doc_id", pa.int64()), ("own", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,19 +400,25 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule, id_col: str, text_c
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     some = rows.join(_bounded(wanted), "doc_id", "left_semi")
-    return staged(some.mapInArrow(run, "doc_id long, own array<bigint>"), "jaccard-sets")
+    return staged(some.mapInArrow(run, "doc_id long, own array<bigint>"), "sets", folder)
 
 
 def checked(pairs: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) that link. ``pairs`` is a written table."""
+    """The pairs (a, b) that link; ids with several rows may repeat some. ``pairs`` is a written table.
+
+    The sets are deleted once the links are written. Those are not made distinct here: that would hold the
+    rows of one b together, while a join alone can be split.
+    """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = _sets_of(docs, staged(wanted, "jaccard-wanted"), rule, id_col, text_col)
-    side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("own").alias(f"own_{c}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("own_a", "own_b"))
-    union = F.size("own_a") + F.size("own_b") - common
-    linked = both.where(rule.den * common.cast("long") >= rule.num * union.cast("long"))
-    return staged(linked.select("a", "b").distinct(), "jaccard-links")
+    wanted = staged(wanted, "jaccard-wanted")
+    with scratch_folder(docs.sparkSession, "jaccard") as folder:
+        sets = _sets_of(docs, wanted, rule, id_col, text_col, folder)
+        side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("own").alias(f"own_{c}"))
+        both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+        common = F.size(F.array_intersect("own_a", "own_b"))
+        union = F.size("own_a") + F.size("own_b") - common
+        linked = both.where(rule.den * common.cast("long") >= rule.num * union.cast("long"))
+        return staged(linked.select("a", "b"), "jaccard-links")
 
 
 def _compatible(rule: Rule, n: str, m: str):
@@ -383,13 +440,13 @@ def components(
     rows = staged(signatures(docs, rule, id_col, text_col), "jaccard-signatures")
     named = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = named.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    members = staged(named.join(classes, ["n", "s1", "s2"]).select("doc_id", "n", "rep", "sketch"), "jaccard-classes")
+    members = staged(named.join(classes, ["n", "s1", "s2"]).select("doc_id", "n", "rep", "sketch", "wide"), "jaccard-classes")
     sizes = {r["n"]: r["count"] for r in rows.where(F.col("n").between(1, MOST_LIGHT)).groupBy("n").count().collect()}
     x = boundary(rule, sizes)
     of_id = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
     of_id = staged(of_id, "jaccard-ids")
-    # An id whose rows differ may represent several classes: it has a size and a sketch for each.
-    reps = members.where("doc_id = rep").select("rep", "n", "sketch").distinct()
+    # An id whose rows differ may represent several classes: it has a size and sketches for each.
+    reps = members.where("doc_id = rep").select("rep", "n", "sketch", "wide").distinct()
     reps = staged(reps, "jaccard-reps")
     copies = of_id.join(reps, of_id.doc_id == reps.rep, "left_anti").select(F.col("doc_id").alias(id_col))
     texts = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
@@ -397,28 +454,27 @@ def components(
     lists = staged(scan_lists(entries(texts, rule, x, id_col, text_col)), "jaccard-lists")
 
     # Each member with its list's first.
-    side = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"))
     spokes = lists.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).where("a <> b").distinct()
-    spokes = spokes.join(side("a"), "a").join(side("b"), "b").where(_compatible(rule, "n_a", "n_b"))
-    spokes = staged(spokes.select("a", "b").distinct(), "jaccard-pairs")
+    spokes = staged(likely(spokes, reps, rule), "jaccard-pairs")
     several = of_id.where("rep <> other").select("doc_id", F.col("rep").alias("a"))
     same_id = several.join(members.select("doc_id", F.col("rep").alias("b")), "doc_id").where("a <> b")
     same_id = same_id.select("a", "b").distinct()
     links = checked(spokes, docs, rule, id_col, text_col).unionByName(same_id)
     found = stars(links)
 
-    # Lists that still hold several components: their lesser members against the rest.
-    rooted = reps.join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
-    rooted = staged(rooted.select("rep", "n", "sketch", F.coalesce("root", "rep").alias("root")), "jaccard-roots")
-    root = lists.join(rooted.select(F.col("rep").alias("doc_id"), "root").distinct(), "doc_id")
+    # Lists that still hold several components: their lesser members against the rest. The two of a list of two
+    # have met above.
+    rooted = reps.select("rep").distinct().join(found.select(F.col("a").alias("rep"), F.col("b").alias("root")), "rep", "left")
+    rooted = staged(rooted.select("rep", F.coalesce("root", "rep").alias("root")), "jaccard-roots")
+    root = lists.select("key", F.col("doc_id").alias("rep")).join(rooted, "rep")
     tallies = root.groupBy("key", "root").count()
     most = tallies.groupBy("key").agg(
-        F.max(F.struct("count", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("roots")
-    ).where("roots > 1")
-    listed = lists.join(most.select("key", "main"), "key").select("key", "main", F.col("doc_id").alias("rep"))
-    listed = staged(listed.join(rooted, "rep"), "jaccard-mixed")
-    more = compare_lists(listed, rule).distinct().join(spokes.select("a", "b"), ["a", "b"], "left_anti")
-    more = staged(more, "jaccard-more")
+        F.max(F.struct("count", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("roots"),
+        F.sum("count").alias("entries"),
+    ).where("roots > 1 AND entries > 2")
+    listed = staged(root.join(most.select("key", "main"), "key").select("key", "main", "rep", "root"), "jaccard-mixed")
+    more = compare_lists(listed, rule, reps).distinct().join(spokes, ["a", "b"], "left_anti")
+    more = staged(likely(more, reps, rule), "jaccard-more")
     if not more.isEmpty():
         found = stars(links.unionByName(checked(more, docs, rule, id_col, text_col)))
 
@@ -442,5 +498,5 @@ def first_of_each(
     Documents without words and rows with a null id stay.
     """
     found = components(docs, words, num, den, id_col, text_col).where("doc_id <> component_id")
-    gone = found.select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    gone = staged(found.select(F.col("doc_id").alias(id_col)).distinct(), "jaccard-gone")
+    return docs.join(_bounded(gone), id_col, "left_anti").select(*docs.columns)
